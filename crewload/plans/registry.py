@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..sources import fixtures
-from . import fa, utilization
+from . import fa, pilot, utilization
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,4 +45,20 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return utilization.utilization_fa(fa.fa_silver(t.txn, p, backfill=True))
 
+    @reg("schedule_latest")
+    def _(t):
+        return pilot.latest_schedule(t.sched, p, backfill=False)
+
+    @reg("pilot_backfill")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, p, backfill=True)
+
+    @reg("pilot_incremental")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, p, backfill=False)
+
+    @reg("utilization_pilot")
+    def _(t):
+        return utilization.utilization_pilot(pilot.pilot_silver(t.txn, t.sched, p, backfill=True), p)
+
     return q

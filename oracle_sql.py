@@ -263,6 +263,136 @@ def fa_silver(s: Sql, p: P.RunParams, backfill: bool) -> str:
     )
 
 
+# --- pilots (M12, M6, M7) ----------------------------------------------------
+
+
+def sched_latest(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    sc = sched(s)
+    if backfill:
+        where, keys = f"BID_DATE BETWEEN {q(p.first_bid_period)} AND {q(p.last_bid_period)}", "BID_DATE, "
+    else:
+        lo, hi = p.pilot_bid_range
+        where, keys = f"BID_DATE BETWEEN {q(lo)} AND {q(hi)}", ""
+    tag = "bf" if backfill else "inc"
+    ranked = s.add(
+        f"sched_ranked_{tag}",
+        f"SELECT *, max({STAMP}) OVER (PARTITION BY {keys}CREW_ID, EFFECTIVE_FROM_DATE, EFFECTIVE_TO_DATE, PAIRING_POSITION) AS top_dt,"
+        f" {STAMP} AS update_dt FROM {sc} WHERE {where}",
+    )
+    return s.add(
+        f"sched_latest_{tag}",
+        f"SELECT CREW_ID, BID_DATE AS BID_PERIOD, PAIRING_POSITION, EQUIPMENT, BASE FROM {ranked}\n"
+        "WHERE update_dt = top_dt OR top_dt IS NULL\n"
+        + first_row([*(["BID_DATE"] if backfill else []), "CREW_ID", "EFFECTIVE_FROM_DATE", "EFFECTIVE_TO_DATE", "PAIRING_POSITION"],
+                    "update_dt DESC NULLS LAST, SCHED_SEQ DESC"),
+    )
+
+
+def pilot_scan(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    if backfill:
+        src = bid_scan(s, p)
+    else:
+        lo, hi = p.bounds(p.pilot_window)
+        src = window(s, "pilot_win", lo, hi)
+    return s.add(f"{src}_st", f"SELECT *, {STAMP} AS update_dt FROM {src}")
+
+
+PJOIN = ("CREW_ID", "BID_PERIOD", "PAIRING_POSITION", "BASE")
+
+
+def pilot_rows(s: Sql, p: P.RunParams, backfill: bool, kind: str) -> str:
+    scan = pilot_scan(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    codes = P.PILOT_RESERVE_CODES if kind == "rsv" else (P.ASSIGNMENT_CODE,)
+    keys = [*(["BID_PERIOD"] if backfill else []), "CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"]
+    return s.add(
+        f"pilot_{kind}_rows_{tag}",
+        f"SELECT * FROM {scan} WHERE CREW_INDICATOR = 'P' AND TRANSACTION_CODE IN {inlist(codes)}\n" + first_row(keys),
+    )
+
+
+def pilot_reserve(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    rows, ms = pilot_rows(s, p, backfill, "rsv"), sched_latest(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    how = "LEFT JOIN" if backfill else "JOIN"
+    return s.add(
+        f"pilot_rsv_{tag}",
+        "SELECT r.CREW_INDICATOR, r.CREW_ID, r.TRANSACTION_CODE, r.PAIRING_DATE, r.PAIRING_POSITION, r.BID_PERIOD, r.BASE, m.EQUIPMENT\n"
+        f"FROM {rows} r {how} {ms} m ON {nsj('r', 'm', PJOIN)}\nWHERE r.PAIRING_POSITION IN {inlist(P.PILOT_SEATS)}",
+    )
+
+
+PASN_CARRY = ("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_NO", "PAIRING_POSITION", "BID_PERIOD", "BASE", "EQUIPMENT", "update_dt", "TXN_SEQ")
+
+
+def pilot_asn(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    rows, ms = pilot_rows(s, p, backfill, "asn"), sched_latest(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    return s.add(
+        f"pilot_asn_{tag}",
+        "SELECT r.CREW_INDICATOR, r.CREW_ID, r.TRANSACTION_CODE, r.PAIRING_NO, r.PAIRING_DATE, r.TO_DATE, r.PAIRING_POSITION,"
+        " r.BID_PERIOD, r.BASE, m.EQUIPMENT, r.update_dt, r.TXN_SEQ\n"
+        f"FROM {rows} r JOIN {ms} m ON {nsj('r', 'm', PJOIN)}\nWHERE r.PAIRING_POSITION IN {inlist(P.PILOT_SEATS)}",
+    )
+
+
+def pilot_day_keys(backfill: bool):
+    return [*(["BID_PERIOD"] if backfill else []), "CREW_ID", "EQUIPMENT", "TRANSACTION_CODE", "DATE"]
+
+
+def pilot_single(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    asn = pilot_asn(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    keys = [k if k != "DATE" else "PAIRING_DATE" for k in pilot_day_keys(backfill)]
+    return s.add(
+        f"pilot_single_{tag}",
+        f"SELECT {SILVER} FROM {asn} WHERE PAIRING_DATE = TO_DATE\n" + first_row(keys),
+    )
+
+
+def pilot_multi_filled(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    asn = pilot_asn(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    ends = s.add(
+        f"pilot_ends_{tag}",
+        f"SELECT * FROM (\n{unpivot_ends(asn, PASN_CARRY)}\n) u\n" + first_row(pilot_day_keys(backfill)),
+    )
+    group = [*(["BID_PERIOD"] if backfill else []), "CREW_ID", "TRANSACTION_CODE", "EQUIPMENT", "PAIRING_NO"]
+    return pad_fill(s, f"pilot_pad_{tag}", ends, group, list(PASN_CARRY) + ["name"], FIRST)
+
+
+def pilot_multi(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    filled = pilot_multi_filled(s, p, backfill)
+    tag = "bf" if backfill else "inc"
+    return s.add(
+        f"pilot_multi_{tag}",
+        "SELECT CREW_INDICATOR, CREW_ID, TRANSACTION_CODE, DATE AS PAIRING_DATE, PAIRING_POSITION, BID_PERIOD, BASE, EQUIPMENT"
+        f" FROM {filled}",
+    )
+
+
+def pilot_silver(s: Sql, p: P.RunParams, backfill: bool) -> str:
+    tag = "bf" if backfill else "inc"
+    rsv, single, multi = pilot_reserve(s, p, backfill), pilot_single(s, p, backfill), pilot_multi(s, p, backfill)
+    u = f"SELECT {SILVER} FROM {rsv} UNION ALL SELECT {SILVER} FROM {single} UNION ALL SELECT {SILVER} FROM {multi}"
+    if backfill:
+        frm = "ARC" if p.fold_arc_in_backfill else P.BACKFILL_TYPO_CODE
+        body = (
+            f"SELECT CREW_INDICATOR, CREW_ID, CASE WHEN TRANSACTION_CODE = {q(frm)} THEN 'SCR' ELSE TRANSACTION_CODE END AS TRANSACTION_CODE,"
+            " PAIRING_DATE, PAIRING_POSITION, BID_PERIOD, BASE, EQUIPMENT\n"
+            f"FROM ({u}) u WHERE PAIRING_DATE <= {d(p.run_date)} AND EQUIPMENT <> '33Y'"
+            f" AND NOT (PAIRING_DATE < {d(p.flag_date)} AND EQUIPMENT = '789')"
+        )
+    else:
+        body = (
+            "SELECT CREW_INDICATOR, CREW_ID, CASE WHEN TRANSACTION_CODE = 'ARC' THEN 'SCR' ELSE TRANSACTION_CODE END AS TRANSACTION_CODE,"
+            " PAIRING_DATE, PAIRING_POSITION, BID_PERIOD,"
+            " CASE WHEN EQUIPMENT IS NULL THEN NULL WHEN EQUIPMENT = '717' THEN 'HNL' ELSE BASE END AS BASE, EQUIPMENT\n"
+            f"FROM ({u}) u WHERE PAIRING_DATE <= {d(p.incremental_cap)} AND EQUIPMENT <> '33Y'"
+        )
+    return s.add(f"pilot_silver_{tag}", body)
+
+
 # --- gold ------------------------------------------------------------------
 
 
@@ -277,6 +407,18 @@ def utilization_fa(s: Sql, silver: str) -> str:
     )
 
 
+def utilization_pilot(s: Sql, p: P.RunParams, silver: str) -> str:
+    return s.add(
+        "gold_pilot",
+        "SELECT PAIRING_POSITION, PAIRING_DATE, BASE, EQUIPMENT, ASN, RLV_SCR,"
+        " round((ASN / RLV_SCR) * 100, 2) AS PERCENT_UTILIZATION FROM (\n"
+        "SELECT BASE, PAIRING_DATE, PAIRING_POSITION, EQUIPMENT, count(*) FILTER (WHERE TRANSACTION_CODE = 'ASN') AS ASN,"
+        " count(*) FILTER (WHERE TRANSACTION_CODE = 'SCR') AS RLV_SCR\n"
+        f"FROM {silver} GROUP BY BASE, PAIRING_DATE, PAIRING_POSITION, EQUIPMENT) g\n"
+        f"WHERE RLV_SCR > 0 AND NOT (PAIRING_DATE < {d(p.flag_date)} AND EQUIPMENT = '789')",
+    )
+
+
 # --- registry ----------------------------------------------------------------
 
 
@@ -295,4 +437,8 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("fa_backfill", lambda s: f"SELECT * FROM {fa_silver(s, p, True)}")
     reg("fa_incremental", lambda s: f"SELECT * FROM {fa_silver(s, p, False)}")
     reg("utilization_fa", lambda s: f"SELECT * FROM {utilization_fa(s, fa_silver(s, p, True))}")
+    reg("schedule_latest", lambda s: f"SELECT * FROM {sched_latest(s, p, False)}")
+    reg("pilot_backfill", lambda s: f"SELECT * FROM {pilot_silver(s, p, True)}")
+    reg("pilot_incremental", lambda s: f"SELECT * FROM {pilot_silver(s, p, False)}")
+    reg("utilization_pilot", lambda s: f"SELECT * FROM {utilization_pilot(s, p, pilot_silver(s, p, True))}")
     return out
