@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import params as P
 from ..sources import fixtures
-from . import fa, pilot, utilization
+from .common import silver
+from . import fa, pilot, reconcile as rc, utilization
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,4 +62,56 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return utilization.utilization_pilot(pilot.pilot_silver(t.txn, t.sched, p, backfill=True), p)
 
+    def recon(t):
+        return rc.reconcile(t.txn, p)
+
+    @reg("available_reserve")
+    def _(t):
+        return silver(recon(t).available)
+
+    @reg("paid_assignments")
+    def _(t):
+        return recon(t).paid.drop("TXN_SEQ")
+
+    @reg("released_after_reserve")
+    def _(t):
+        return rc.released_after_reserve(recon(t).flags)
+
+    @reg("overlap_days")
+    def _(t):
+        return rc.overlap_days(recon(t).flags)
+
+    @reg("released_after_asn")
+    def _(t):
+        return rc.released_after_asn(recon(t).flags)
+
+    @reg("last_position")
+    def _(t):
+        return rc.reserve_position(recon(t).rows)
+
+    @reg("asn_without_reserve")
+    def _(t):
+        r = recon(t)
+        return rc.asn_without_reserve(r.days, r.available)
+
+    @reg("asn_with_reserve")
+    def _(t):
+        return recon(t).assigned
+
+    @reg("carried_days")
+    def _(t):
+        return silver(recon(t).carried)
+
+    @reg("reserve_minus_carried")
+    def _(t):
+        return silver(recon(t).reserve)
+
+    @reg("reconciled_days")
+    def _(t):
+        return recon(t).result
+
+    @reg("utilization_hnl")
+    def _(t):
+        return rc.utilization_hnl(t.txn, p)
+
     return q

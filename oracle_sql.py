@@ -393,6 +393,164 @@ def pilot_silver(s: Sql, p: P.RunParams, backfill: bool) -> str:
     return s.add(f"pilot_silver_{tag}", body)
 
 
+# --- reconciliation (M9-M11, M1) --------------------------------------------
+
+DAYK = ("CREW_ID", "PAIRING_DATE")
+MATCH = ("CREW_INDICATOR", "CREW_ID", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE", "EQUIPMENT")
+
+
+def ex_flag(s: Sql, p: P.RunParams) -> str:
+    """The source's way: row numbers in stamp order per (crew, day), the last
+    position of each code set, and per-row "after" tests."""
+    lo, hi = p.bounds(p.explore_window)
+    src = window(s, "ex_win", lo, hi)
+    rows = s.add(
+        "ex_rows",
+        f"SELECT *, {STAMP} AS update_dt FROM {src} WHERE CREW_INDICATOR = 'FA'"
+        f" AND (CREW_ID IS NULL OR CREW_ID NOT IN {inlist(P.PLACEHOLDER_CREW_IDS)})",
+    )
+    pos = s.add(
+        "ex_pos",
+        f"SELECT *, row_number() OVER (PARTITION BY CREW_ID, PAIRING_DATE ORDER BY {FIRST}) AS rn FROM {rows}",
+    )
+    g = "OVER (PARTITION BY CREW_ID, PAIRING_DATE)"
+    return s.add(
+        "ex_flag",
+        f"SELECT *, rn > last_rlv_pos AND TRANSACTION_CODE IN {inlist(P.RELEASE_CODES)} AS occurs_after_last_rlv,"
+        f" rn > last_dropcode AND TRANSACTION_CODE IN {inlist(P.OVERLAP_CODES)} AS occurs_last_sno,"
+        f" rn > last_asn_pos AND TRANSACTION_CODE IN {inlist(P.ASSIGNMENT_RELEASE_CODES)} AS occurs_after_last_asn FROM (\n"
+        f"SELECT *, max(CASE WHEN TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES)} THEN rn END) {g} AS last_rlv_pos,"
+        f" max(CASE WHEN TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES + (P.ASSIGNMENT_CODE,))} THEN rn END) {g} AS last_dropcode,"
+        f" coalesce(max(CASE WHEN TRANSACTION_CODE = 'ASN' THEN rn END) {g}, 0) AS last_asn_pos FROM {pos}) x",
+    )
+
+
+def w3(s, p):
+    f = ex_flag(s, p)
+    return s.add(
+        "w3",
+        f"SELECT CREW_ID, PAIRING_DATE FROM {f} WHERE last_rlv_pos IS NOT NULL GROUP BY CREW_ID, PAIRING_DATE"
+        " HAVING bool_or(occurs_after_last_rlv)",
+    )
+
+
+def w4(s, p):
+    f = ex_flag(s, p)
+    return s.add("w4", f"SELECT DISTINCT CREW_ID, PAIRING_DATE FROM {f} WHERE last_rlv_pos IS NOT NULL AND occurs_last_sno")
+
+
+def w5(s, p):
+    f = ex_flag(s, p)
+    return s.add(
+        "w5",
+        f"SELECT CREW_ID, PAIRING_DATE FROM {f} GROUP BY CREW_ID, PAIRING_DATE HAVING bool_or(occurs_after_last_asn)",
+    )
+
+
+def not_in_days(alias: str, days: str, cols=DAYK) -> str:
+    return f"NOT EXISTS (SELECT 1 FROM {days} z WHERE {nsj('z', alias, cols)})"
+
+
+def m9(s, p):
+    f, rej = ex_flag(s, p), w3(s, p)
+    return s.add(
+        "m9",
+        "SELECT CREW_INDICATOR, CREW_ID, TRANSACTION_CODE, PAIRING_DATE, PAIRING_POSITION, BID_PERIOD, BASE, 'NA' AS EQUIPMENT, update_dt, TXN_SEQ\n"
+        f"FROM {f} x WHERE last_rlv_pos IS NOT NULL AND TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES)} AND {not_in_days('x', rej)}\n"
+        + first_row(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"]),
+    )
+
+
+def m10(s, p):
+    f, rej = ex_flag(s, p), w5(s, p)
+    return s.add(
+        "m10",
+        "SELECT CREW_INDICATOR, CREW_ID, TRANSACTION_CODE, PAIRING_NO, PAIRING_DATE, TO_DATE, PAIRING_POSITION, BID_PERIOD, BASE, update_dt, TXN_SEQ\n"
+        f"FROM {f} x WHERE TRANSACTION_CODE = 'ASN' AND {not_in_days('x', rej)}\n"
+        + first_row(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"]),
+    )
+
+
+def ex_single(s, p):
+    a = m10(s, p)
+    return s.add(
+        "ex_single",
+        f"SELECT {SILVER}, PAIRING_NO, update_dt FROM (SELECT *, 'NA' AS EQUIPMENT FROM {a} WHERE PAIRING_DATE = TO_DATE) x\n"
+        + first_row(["CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "PAIRING_NO"]),
+    )
+
+
+def ex_filled(s, p):
+    a = m10(s, p)
+    ends = s.add(
+        "ex_ends",
+        f"SELECT * FROM (\n{unpivot_ends(a, ASN_CARRY)}\n) u\n" + first_row(["CREW_ID", "TRANSACTION_CODE", "DATE", "PAIRING_NO"]),
+    )
+    return pad_fill(s, "ex_pad", ends, ["CREW_ID", "PAIRING_NO", "update_dt"], list(ASN_CARRY) + ["name"], FIRST)
+
+
+def ex_multi(s, p):
+    f = ex_filled(s, p)
+    return s.add(
+        "ex_multi",
+        "SELECT CREW_INDICATOR, CREW_ID, TRANSACTION_CODE, DATE AS PAIRING_DATE, PAIRING_POSITION, BID_PERIOD, BASE,"
+        f" 'NA' AS EQUIPMENT, PAIRING_NO, update_dt, name FROM {f}",
+    )
+
+
+def asn_days(s, p):
+    one, many = ex_single(s, p), ex_multi(s, p)
+    return s.add(
+        "asn_days",
+        f"SELECT {SILVER} FROM (SELECT {SILVER}, PAIRING_NO, update_dt, 0 AS src FROM {one}"
+        f" UNION ALL SELECT {SILVER}, PAIRING_NO, update_dt, 1 AS src FROM {many}) u\n"
+        + first_row(["PAIRING_DATE", "CREW_ID"], "src, PAIRING_NO NULLS LAST, update_dt NULLS LAST"),
+    )
+
+
+def j5(s, p):
+    a, r = asn_days(s, p), m9(s, p)
+    return s.add("j5", f"SELECT * FROM {a} x WHERE EXISTS (SELECT 1 FROM {r} z WHERE {nsj('z', 'x', MATCH)})")
+
+
+def j4(s, p):
+    a, r = asn_days(s, p), m9(s, p)
+    return s.add("j4", f"SELECT * FROM {a} x WHERE NOT EXISTS (SELECT 1 FROM {r} z WHERE {nsj('z', 'x', MATCH)})")
+
+
+def x4(s, p):
+    f, ov = ex_multi(s, p), w4(s, p)
+    return s.add(
+        "x4",
+        f"SELECT * FROM {f} x WHERE (name = 'TO_DATE' OR name IS NULL) AND {not_in_days('x', ov)}",
+    )
+
+
+def j7(s, p):
+    r, c = m9(s, p), x4(s, p)
+    return s.add(
+        "j7",
+        f"SELECT * FROM {r} x WHERE {not_in_days('x', c, ('CREW_ID', 'PAIRING_DATE', 'BASE', 'CREW_INDICATOR'))}\n"
+        + first_row(["PAIRING_DATE", "CREW_ID"]),
+    )
+
+
+def m11(s, p):
+    a, b = j7(s, p), j5(s, p)
+    return s.add("m11", f"SELECT {SILVER} FROM {a} UNION ALL SELECT {SILVER} FROM {b}")
+
+
+def m1(s, p):
+    r = m11(s, p)
+    return s.add(
+        "m1",
+        "SELECT PAIRING_DATE, BASE, RLV, ASN, round_even(ASN * 100 / NULLIF(RLV, 0), 0) AS perc_utl FROM (\n"
+        "SELECT PAIRING_DATE, BASE, count(*) FILTER (WHERE code = 'RLV') AS RLV, count(*) FILTER (WHERE code = 'ASN') AS ASN\n"
+        f"FROM (SELECT *, CASE WHEN TRANSACTION_CODE = 'RSV' THEN 'RLV' ELSE TRANSACTION_CODE END AS code FROM {r}"
+        f" WHERE BASE = {q(P.REPORT_BASE)}) x GROUP BY PAIRING_DATE, BASE) g",
+    )
+
+
 # --- gold ------------------------------------------------------------------
 
 
@@ -441,4 +599,16 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("pilot_backfill", lambda s: f"SELECT * FROM {pilot_silver(s, p, True)}")
     reg("pilot_incremental", lambda s: f"SELECT * FROM {pilot_silver(s, p, False)}")
     reg("utilization_pilot", lambda s: f"SELECT * FROM {utilization_pilot(s, p, pilot_silver(s, p, True))}")
+    reg("available_reserve", lambda s: f"SELECT {SILVER} FROM {m9(s, p)}")
+    reg("paid_assignments", lambda s: f"SELECT * EXCLUDE (TXN_SEQ) FROM {m10(s, p)}")
+    reg("released_after_reserve", lambda s: f"SELECT * FROM {w3(s, p)}")
+    reg("overlap_days", lambda s: f"SELECT * FROM {w4(s, p)}")
+    reg("released_after_asn", lambda s: f"SELECT * FROM {w5(s, p)}")
+    reg("last_position", lambda s: f"SELECT DISTINCT CREW_ID, PAIRING_DATE, CAST(last_rlv_pos AS INT) AS last_rlv_pos FROM {ex_flag(s, p)} WHERE last_rlv_pos IS NOT NULL")
+    reg("asn_without_reserve", lambda s: f"SELECT * FROM {j4(s, p)}")
+    reg("asn_with_reserve", lambda s: f"SELECT * FROM {j5(s, p)}")
+    reg("carried_days", lambda s: f"SELECT {SILVER} FROM {x4(s, p)}")
+    reg("reserve_minus_carried", lambda s: f"SELECT {SILVER} FROM {j7(s, p)}")
+    reg("reconciled_days", lambda s: f"SELECT * FROM {m11(s, p)}")
+    reg("utilization_hnl", lambda s: f"SELECT * FROM {m1(s, p)}")
     return out
