@@ -61,6 +61,10 @@ def fa_assignments(scan: DataFrame, params: P.RunParams, backfill: bool) -> Data
     return rows.select(*ASN_COLS, SEQ)
 
 
+def fa_order():
+    return first_order()
+
+
 def fa_day_keys(backfill: bool):
     return keyed(["CREW_ID", "TRANSACTION_CODE", DATE, "PAIRING_NO"], backfill)
 

@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import params as P
-from ..sources import fixtures
-from .common import silver
+from ..functions.dates import backfill_cutoff, incremental_cutoff
+from ..functions.predicates import not_equal_drop_null, not_in_keep_null
+from ..operators import dedup, expand, groups, joins, reshape
+from ..sinks import tables as sinks
+from ..session import scratch_path
+from ..sources import fixtures, history
 from . import fa, pilot, reconcile as rc, utilization
+from .common import FILL_COLS, STAMP, silver, with_stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,4 +120,166 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return rc.utilization_hnl(t.txn, p)
 
+    # --- sources and parameters -------------------------------------------
+
+    @reg("scan_window")
+    def _(t):
+        return history.scan_window(t.txn, *p.bounds(p.fa_window))
+
+    @reg("scan_bid_period")
+    def _(t):
+        return history.scan_bid_periods(t.txn, p.first_bid_period, p.last_bid_period)
+
+    @reg("bid_periods")
+    def _(t):
+        return history.bid_periods(t.txn, p.first_bid_period, p.last_bid_period)
+
+    @reg("schedule_scan")
+    def _(t):
+        return history.schedule_scan(t.sched, *p.pilot_bid_range)
+
+    @reg("cutoff_incremental")
+    def _(t):
+        runs = t.txn.select(F.col("PAIRING_DATE").alias("run_date")).distinct()
+        return runs.withColumn(
+            "cutoff", incremental_cutoff(F.col("run_date"), p.cutoff_lead_days, p.incremental_cutoff_day)
+        )
+
+    @reg("cutoff_backfill")
+    def _(t):
+        return t.txn.select("BID_PERIOD").distinct().withColumn("cutoff", backfill_cutoff("BID_PERIOD", p.backfill_cutoff_day))
+
+    # --- filters -------------------------------------------------------------
+
+    @reg("not_placeholder_crew")
+    def _(t):
+        return t.txn.where(not_in_keep_null("CREW_ID", P.PLACEHOLDER_CREW_IDS))
+
+    @reg("equipment_exclusion")
+    def _(t):
+        return t.sched.where(not_equal_drop_null("EQUIPMENT", P.EXCLUDED_EQUIPMENT))
+
+    @reg("group_any")
+    def _(t):
+        rows = with_stamp(history.scan_window(t.txn, *p.bounds(p.fa_window)).where(F.col("CREW_INDICATOR") == P.FA))
+        return groups.group_any(rows, ["CREW_ID", "PAIRING_DATE"], F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
+
+    @reg("group_reject")
+    def _(t):
+        rows = rc.explore_rows(t.txn, p)
+        return groups.group_reject(rows, ["CREW_ID", "PAIRING_DATE"], F.col("TRANSACTION_CODE").isin(*P.RELEASE_CODES))
+
+    @reg("latest_ties")
+    def _(t):
+        s = pilot.schedule_versions(t.sched, p, backfill=False).withColumn(STAMP, F.concat(
+            F.col("UPDATE_DATE").cast("string"), F.lit(" "), F.col("UPDATE_TIME")))
+        return dedup.latest_with_ties(s, pilot.VERSION_KEYS, STAMP)
+
+    @reg("equipment_date_rule")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, p.with_(flag_date_intent=True), backfill=True)
+
+    # --- joins ---------------------------------------------------------------
+
+    @reg("schedule_inner")
+    def _(t):
+        scan = pilot.pilot_scan(t.txn, p, False)
+        return silver(pilot.pilot_reserve(scan, pilot.latest_schedule(t.sched, p, False), False))
+
+    @reg("schedule_left")
+    def _(t):
+        scan = pilot.pilot_scan(t.txn, p, True)
+        return silver(pilot.pilot_reserve(scan, pilot.latest_schedule(t.sched, p, True), True))
+
+    @reg("append_guard")
+    def _(t):
+        return joins.append_guard(fa.fa_silver(t.txn, p, False), fa.fa_silver(t.txn, p, True))
+
+    # --- dedup, counts, reshape ----------------------------------------------
+
+    @reg("first_per_key")
+    def _(t):
+        return silver(fa.fa_reserve(fa.fa_scan(t.txn, p, False), p, False))
+
+    @reg("distinct_crew_day")
+    def _(t):
+        rows = history.scan_window(t.txn, *p.bounds(p.explore_window)).where(F.col("CREW_INDICATOR") == P.FA)
+        crews = groups.group_any(rows, ["CREW_ID"], F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES))
+        days = dedup.distinct_rows(crews.select("CREW_ID", "PAIRING_DATE"))
+        return days.where(not_in_keep_null("CREW_ID", P.PLACEHOLDER_CREW_IDS))
+
+    @reg("daily_counts")
+    def _(t):
+        from ..functions.predicates import fold_code
+
+        rows = recon(t).result.withColumn("TRANSACTION_CODE", fold_code("TRANSACTION_CODE", *P.FOLDED_FA_CODE))
+        return reshape.daily_counts(rows, ["PAIRING_DATE", "TRANSACTION_CODE", "BASE"])
+
+    @reg("unpivot_dates")
+    def _(t):
+        return expand.unpivot_dates(expand.multi_day(recon(t).paid.drop("TXN_SEQ")))
+
+    @reg("pivot_codes")
+    def _(t):
+        return reshape.pivot_codes(fa.fa_silver(t.txn, p, True), ["PAIRING_DATE", "BASE"], ["RLV", P.ASSIGNMENT_CODE])
+
+    # --- expansion, fill, union, alignment -----------------------------------
+
+    def fa_bf_asn(t):
+        return fa.fa_assignments(fa.fa_scan(t.txn, p, True), p, True)
+
+    @reg("expand_single")
+    def _(t):
+        return silver(fa.fa_single(fa_bf_asn(t), True))
+
+    @reg("expand_multi")
+    def _(t):
+        return silver(fa.fa_multi(fa_bf_asn(t), True))
+
+    @reg("pad_days")
+    def _(t):
+        ends = expand.trip_ends(fa_bf_asn(t), fa.fa_day_keys(True), fa.fa_order())
+        padded = expand.pad_days(ends, fa.fa_pad_keys(True))
+        return padded.select(
+            "BID_PERIOD", "CREW_ID", "BASE", "PAIRING_NO", "DATE", "name", "CREW_INDICATOR", "TRANSACTION_CODE", "PAIRING_POSITION"
+        )
+
+    @reg("fill_down")
+    def _(t):
+        scan = pilot.pilot_scan(t.txn, p, True)
+        asn = pilot.pilot_assignments(scan, pilot.latest_schedule(t.sched, p, True), True)
+        return silver(pilot.pilot_multi(asn, True))
+
+    @reg("union_silver")
+    def _(t):
+        return reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True))
+
+    @reg("align_columns")
+    def _(t):
+        return joins.align_columns(recon(t).paid, fa.fa_silver(t.txn, p, True))[0]
+
+    # --- table lifecycle -------------------------------------------------------
+
+    @reg("append_batch")
+    def _(t):
+        table = reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True))
+        batch = pilot.pilot_silver(t.txn, t.sched, p, False)
+        lo, _hi = p.bounds(p.pilot_window)
+        return sinks.guarded_rows(batch, table, (lo, p.incremental_cap))
+
+    @reg("overwrite_roundtrip")
+    def _(t):
+        path = scratch_path(t.spark, "silver-overwrite")
+        sinks.write_overwrite(fa.fa_silver(t.txn, p, True), path)
+        return sinks.read_silver(t.spark, path)
+
+    @reg("append_roundtrip")
+    def _(t):
+        path = scratch_path(t.spark, "silver-append")
+        sinks.write_overwrite(fa.fa_silver(t.txn, p, True), path)
+        sinks.append_plain(pilot.pilot_silver(t.txn, t.sched, p, True), path)
+        sinks.append_guarded(t.spark, fa.fa_silver(t.txn, p, False), path)
+        sinks.append_guarded(t.spark, pilot.pilot_silver(t.txn, t.sched, p, False), path)
+        return sinks.read_silver(t.spark, path)
+
     return q

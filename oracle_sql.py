@@ -611,4 +611,134 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("reserve_minus_carried", lambda s: f"SELECT {SILVER} FROM {j7(s, p)}")
     reg("reconciled_days", lambda s: f"SELECT * FROM {m11(s, p)}")
     reg("utilization_hnl", lambda s: f"SELECT * FROM {m1(s, p)}")
+    # sources and parameters
+    lo_fa, hi_fa = p.bounds(p.fa_window)
+    reg("scan_window", lambda s: f"SELECT * FROM {window(s, 'fa_win', lo_fa, hi_fa)}")
+    reg("scan_bid_period", lambda s: f"SELECT * FROM {bid_scan(s, p)}")
+    reg("bid_periods", lambda s: f"SELECT DISTINCT BID_PERIOD FROM {bid_scan(s, p)} ORDER BY BID_PERIOD DESC")
+    blo, bhi = p.pilot_bid_range
+    reg("schedule_scan", lambda s: f"SELECT * FROM {sched(s)} WHERE BID_DATE BETWEEN {q(blo)} AND {q(bhi)}")
+    reg(
+        "cutoff_incremental",
+        lambda s: "SELECT run_date, strftime(date_trunc('month', run_date + "
+        f"{p.cutoff_lead_days}) - INTERVAL 1 DAY, '%Y-%m') || '-{p.incremental_cutoff_day:02d} 00:00:00' AS cutoff"
+        f" FROM (SELECT DISTINCT PAIRING_DATE AS run_date FROM {txn(s)}) r",
+    )
+    reg(
+        "cutoff_backfill",
+        lambda s: f"SELECT BID_PERIOD, {fa_cutoff(p, True)} AS cutoff FROM (SELECT DISTINCT BID_PERIOD FROM {txn(s)}) b",
+    )
+    # filters
+    reg("not_placeholder_crew", lambda s: f"SELECT * FROM {txn(s)} WHERE CREW_ID IS NULL OR CREW_ID NOT IN {inlist(P.PLACEHOLDER_CREW_IDS)}")
+    reg("equipment_exclusion", lambda s: f"SELECT * FROM {sched(s)} WHERE EQUIPMENT <> '33Y'")
+
+    def group_any(s):
+        w = window(s, "fa_win", lo_fa, hi_fa)
+        rows = s.add("ga_rows", f"SELECT *, {STAMP} AS update_dt FROM {w} WHERE CREW_INDICATOR = 'FA'")
+        return (
+            f"SELECT * FROM {rows} x WHERE EXISTS (SELECT 1 FROM {rows} z WHERE z.TRANSACTION_CODE = 'ASN'"
+            f" AND {nsj('z', 'x', DAYK)})"
+        )
+
+    reg("group_any", group_any)
+
+    def group_reject(s):
+        ex_flag(s, p)
+        rows = "ex_rows"
+        return (
+            f"SELECT * FROM {rows} x WHERE NOT EXISTS (SELECT 1 FROM {rows} z WHERE z.TRANSACTION_CODE IN {inlist(P.RELEASE_CODES)}"
+            f" AND {nsj('z', 'x', DAYK)})"
+        )
+
+    reg("group_reject", group_reject)
+
+    def latest_ties(s):
+        sc = sched(s)
+        return (
+            f"SELECT * EXCLUDE (top_dt) FROM (SELECT *, {STAMP} AS update_dt, max({STAMP}) OVER (PARTITION BY CREW_ID,"
+            " EFFECTIVE_FROM_DATE, EFFECTIVE_TO_DATE, PAIRING_POSITION) AS top_dt FROM "
+            f"{sc} WHERE BID_DATE BETWEEN {q(blo)} AND {q(bhi)}) x WHERE update_dt = top_dt"
+        )
+
+    reg("latest_ties", latest_ties)
+    p_intent = p.with_(flag_date_intent=True)
+    reg("equipment_date_rule", lambda s: f"SELECT * FROM {pilot_silver(s, p_intent, True)}")
+    # joins
+    reg("schedule_inner", lambda s: f"SELECT * FROM {pilot_reserve(s, p, False)}")
+    reg("schedule_left", lambda s: f"SELECT * FROM {pilot_reserve(s, p, True)}")
+    allc = SILVER.split(", ")
+
+    def guard(s):
+        inc, bf = fa_silver(s, p, False), fa_silver(s, p, True)
+        return f"SELECT * FROM {inc} x WHERE NOT EXISTS (SELECT 1 FROM {bf} z WHERE {nsj('z', 'x', allc)})"
+
+    reg("append_guard", guard)
+    # dedup, counts, reshape
+    reg("first_per_key", lambda s: f"SELECT {SILVER} FROM {fa_reserve(s, p, False)}")
+
+    def distinct_crew_day(s):
+        lo, hi = p.bounds(p.explore_window)
+        w = window(s, "ex_win", lo, hi)
+        fa_rows = s.add("dcd_rows", f"SELECT * FROM {w} WHERE CREW_INDICATOR = 'FA'")
+        return (
+            f"SELECT DISTINCT CREW_ID, PAIRING_DATE FROM {fa_rows} x WHERE EXISTS (SELECT 1 FROM {fa_rows} z"
+            f" WHERE z.TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES)} AND z.CREW_ID IS NOT DISTINCT FROM x.CREW_ID)"
+            f" AND (CREW_ID IS NULL OR CREW_ID NOT IN {inlist(P.PLACEHOLDER_CREW_IDS)})"
+        )
+
+    reg("distinct_crew_day", distinct_crew_day)
+    reg(
+        "daily_counts",
+        lambda s: "SELECT PAIRING_DATE, code AS TRANSACTION_CODE, BASE, count(*) AS n FROM (SELECT *, CASE WHEN TRANSACTION_CODE = 'RSV'"
+        f" THEN 'RLV' ELSE TRANSACTION_CODE END AS code FROM {m11(s, p)}) x GROUP BY PAIRING_DATE, code, BASE",
+    )
+    reg(
+        "unpivot_dates",
+        lambda s: "SELECT * FROM (\n"
+        + unpivot_ends(m10(s, p), ("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_NO", "PAIRING_POSITION", "BID_PERIOD", "BASE", "update_dt"))
+        + "\n) u",
+    )
+    reg(
+        "pivot_codes",
+        lambda s: "SELECT PAIRING_DATE, BASE, count(*) FILTER (WHERE TRANSACTION_CODE = 'RLV') AS RLV,"
+        f" count(*) FILTER (WHERE TRANSACTION_CODE = 'ASN') AS ASN FROM {fa_silver(s, p, True)} GROUP BY PAIRING_DATE, BASE",
+    )
+    # expansion, fill, union, alignment
+    reg("expand_single", lambda s: f"SELECT * FROM {fa_single(s, p, True)}")
+    reg("expand_multi", lambda s: f"SELECT * FROM {fa_multi(s, p, True)}")
+
+    def pad_days(s):
+        fa_multi_filled(s, p, True)
+        return (
+            "SELECT BID_PERIOD, CREW_ID, BASE, PAIRING_NO, DATE, name, CREW_INDICATOR, TRANSACTION_CODE, PAIRING_POSITION"
+            " FROM fa_pad_bf_padded"
+        )
+
+    reg("pad_days", pad_days)
+    reg("fill_down", lambda s: f"SELECT * FROM {pilot_multi(s, p, True)}")
+    reg("union_silver", lambda s: f"SELECT * FROM {fa_silver(s, p, True)} UNION ALL SELECT * FROM {pilot_silver(s, p, True)}")
+    reg(
+        "align_columns",
+        lambda s: f"SELECT CREW_INDICATOR, CREW_ID, TRANSACTION_CODE, PAIRING_DATE, PAIRING_POSITION, BID_PERIOD, BASE FROM {m10(s, p)}",
+    )
+
+    # table lifecycle
+    def table0(s):
+        return s.add("table0", f"SELECT * FROM {fa_silver(s, p, True)} UNION ALL SELECT * FROM {pilot_silver(s, p, True)}")
+
+    def append_batch(s):
+        t0, b = table0(s), pilot_silver(s, p, False)
+        return f"SELECT * FROM {b} x WHERE NOT EXISTS (SELECT 1 FROM {t0} z WHERE {nsj('z', 'x', allc)})"
+
+    reg("append_batch", append_batch)
+    reg("overwrite_roundtrip", lambda s: f"SELECT * FROM {fa_silver(s, p, True)}")
+
+    def append_roundtrip(s):
+        t0, fi, pi = table0(s), fa_silver(s, p, False), pilot_silver(s, p, False)
+        a1 = s.add("add_fa", f"SELECT * FROM {fi} x WHERE NOT EXISTS (SELECT 1 FROM {t0} z WHERE {nsj('z', 'x', allc)})")
+        t1 = s.add("table1", f"SELECT * FROM {t0} UNION ALL SELECT * FROM {a1}")
+        a2 = s.add("add_p", f"SELECT * FROM {pi} x WHERE NOT EXISTS (SELECT 1 FROM {t1} z WHERE {nsj('z', 'x', allc)})")
+        return f"SELECT * FROM {t1} UNION ALL SELECT * FROM {a2}"
+
+    reg("append_roundtrip", append_roundtrip)
     return out
