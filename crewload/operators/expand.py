@@ -73,11 +73,14 @@ def pad_days(
     """
     w = Window.partitionBy(*group_keys).orderBy(F.col(DATE).asc(), *tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ends
-    for c in fill_cols:
-        out = out.withColumn(c, F.last(c, ignorenulls=True).over(upto))
-    nxt = F.lead(DATE).over(w)
-    out = out.withColumn("__next", nxt)
+    # Group keys are constant inside a group, so only the other fill columns
+    # need the window; all window expressions go in one projection, so they
+    # share one sort and the exchange on the group keys is not repeated.
+    to_fill = [c for c in fill_cols if c not in group_keys]
+    out = ends.select(
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) if c in to_fill else F.col(c) for c in ends.columns],
+        F.lead(DATE).over(w).alias("__next"),
+    )
     last_day = F.when(F.col("__next").isNull() | (F.col("__next") <= F.col(DATE)), F.col(DATE)).otherwise(
         F.date_sub("__next", 1)
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import stamp_order, update_stamp
 from ..params import SILVER_COLUMNS
+from ..session import ensure_checkpoint_dir
 
 STAMP = "update_dt"
 SEQ = "TXN_SEQ"
@@ -46,3 +47,16 @@ def keyed(keys, backfill: bool):
 
 def lit_equipment(df: DataFrame, value: str) -> DataFrame:
     return df.withColumn("EQUIPMENT", F.lit(value))
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a result that several branches read.
+
+    Column pruning gives each branch a different plan, so Spark would scan
+    and shuffle the log once per branch. A reliable ``checkpoint`` writes
+    the (already deduplicated, much smaller) rows once to the cluster's
+    shared checkpoint folder, cuts the lineage there, and every branch reads
+    that copy; a lost executor recomputes from the copy, not from the log.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -18,7 +18,7 @@ from ..operators.expand import DATE, expand_multi, expand_single
 from ..operators.groups import group_any
 from ..operators.reshape import union_by_name
 from ..sources.history import scan_bid_periods, scan_window
-from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, keyed, lit_equipment, silver, with_stamp
+from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, keyed, lit_equipment, silver, stage, with_stamp
 
 FA_RESERVE_OUT = ("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE")
 
@@ -82,11 +82,27 @@ def fa_multi(asn: DataFrame, backfill: bool) -> DataFrame:
     return lit_equipment(out.withColumnRenamed(DATE, "PAIRING_DATE"), P.FA_EQUIPMENT)
 
 
+def fa_backfill_firsts(scan: DataFrame, params: P.RunParams) -> DataFrame:
+    """Backfill reserve rows (before their cutoff) and ASN rows share one
+    key, so one window pass over one scan finds the first row of both."""
+    codes = P.FA_RESERVE_CODES + (P.ASSIGNMENT_CODE,)
+    rows = with_stamp(scan.where((F.col("CREW_INDICATOR") == P.FA) & F.col("TRANSACTION_CODE").isin(*codes)))
+    rows = rows.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) | (F.col(STAMP) < fa_cutoff(params, True)))
+    rows = first_per_key(rows, keyed(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"], True), first_order())
+    return rows.select(*ASN_COLS, SEQ)
+
+
 def fa_silver(history: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M4 (backfill) / M5 (incremental): union, date cap, RSV counted as RLV."""
     scan = fa_scan(history, params, backfill)
-    asn = fa_assignments(scan, params, backfill)
-    parts = [silver(fa_reserve(scan, params, backfill)), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill))]
+    if backfill:
+        firsts = stage(fa_backfill_firsts(scan, params))
+        reserve = lit_equipment(firsts.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES)), P.FA_EQUIPMENT)
+        asn = firsts.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
+    else:
+        reserve = fa_reserve(scan, params, backfill)
+        asn = fa_assignments(scan, params, backfill)
+    parts = [silver(reserve), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill))]
     cap = params.run_date if backfill else params.incremental_cap
     out = union_by_name(*parts).where(F.col("PAIRING_DATE") <= F.lit(cap))
     out = out.withColumn("TRANSACTION_CODE", fold_code("TRANSACTION_CODE", *P.FOLDED_FA_CODE))

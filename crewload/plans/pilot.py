@@ -20,7 +20,7 @@ from ..operators.expand import DATE, expand_multi, expand_single
 from ..operators.joins import join_null_safe
 from ..operators.reshape import union_by_name
 from ..sources.history import scan_bid_periods, scan_window, schedule_scan
-from .common import FILL_COLS, SEQ, STAMP, first_order, keyed, silver, with_stamp
+from .common import FILL_COLS, SEQ, STAMP, first_order, keyed, silver, stage, with_stamp
 
 JOIN_KEYS = ["CREW_ID", "BID_PERIOD", "PAIRING_POSITION", "BASE"]
 SCHED_OUT = ["CREW_ID", "BID_PERIOD", "PAIRING_POSITION", "EQUIPMENT", "BASE"]
@@ -103,14 +103,39 @@ def pilot_multi(asn: DataFrame, backfill: bool) -> DataFrame:
     return out.withColumnRenamed(DATE, "PAIRING_DATE")
 
 
+def pilot_firsts(scan: DataFrame, sched_latest: DataFrame, backfill: bool) -> DataFrame:
+    """Reserve and ASN rows share the dedup key, so one window pass over one
+    scan finds both, and one join gives them their equipment. The join is a
+    left join with a match marker: reserve rows keep unmatched days in the
+    backfill (left join), ASN rows never do (inner join)."""
+    codes = P.PILOT_RESERVE_CODES + (P.ASSIGNMENT_CODE,)
+    rows = _pilot_rows(scan, codes, backfill).select(
+        "CREW_INDICATOR",
+        "CREW_ID",
+        "TRANSACTION_CODE",
+        "PAIRING_NO",
+        "PAIRING_DATE",
+        "TO_DATE",
+        "PAIRING_POSITION",
+        "BID_PERIOD",
+        "BASE",
+        STAMP,
+        SEQ,
+    )
+    rows = rows.where(F.col("PAIRING_POSITION").isin(*P.PILOT_SEATS))
+    marked = sched_latest.withColumn("__matched", F.lit(True))
+    joined = join_null_safe(rows, marked, JOIN_KEYS, "left" if backfill else "inner")
+    return joined.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False)))
+
+
 def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
     latest = latest_schedule(schedule, params, backfill)
-    asn = pilot_assignments(scan, latest, backfill)
-    out = union_by_name(
-        silver(pilot_reserve(scan, latest, backfill)), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill))
-    )
+    firsts = stage(pilot_firsts(scan, latest, backfill))
+    reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
+    asn = firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
+    out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill)))
     if backfill:
         frm = P.FOLDED_PILOT_CODE[0] if params.fold_arc_in_backfill else P.BACKFILL_TYPO_CODE
         out = out.where(F.col("PAIRING_DATE") <= F.lit(params.run_date))

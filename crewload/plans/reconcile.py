@@ -27,11 +27,11 @@ from .. import params as P
 from ..functions.predicates import not_in_keep_null
 from ..operators.dedup import first_per_key
 from ..operators.expand import DATE, NAME, carried_days, expand_multi, expand_single
-from ..operators.groups import after, group_flags, last_key, last_position
+from ..operators.groups import after, group_flags, last_key, last_position, sort_key
 from ..operators.joins import anti_join, semi_join
 from ..operators.reshape import union_by_name
 from ..sources.history import scan_window
-from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, lit_equipment, silver, with_stamp
+from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, lit_equipment, silver, stage, with_stamp
 from .utilization import utilization_live
 
 DAY = ["CREW_ID", "PAIRING_DATE"]
@@ -51,9 +51,25 @@ def explore_rows(history: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFra
     return with_stamp(rows)
 
 
-def day_flags(rows: DataFrame) -> DataFrame:
-    """One row per (crew, day): the sort key of the last row of each code set."""
-    return group_flags(
+PAYLOAD = [*ASN_COLS, SEQ]
+
+
+def _first_of(code: str):
+    """First row (in update order) of one code within the group, as a struct."""
+    row = F.struct(sort_key().alias("k"), F.struct(*PAYLOAD).alias("r"))
+    return F.min(F.when(F.col("TRANSACTION_CODE") == code, row))["r"]
+
+
+def day_summary(rows: DataFrame) -> DataFrame:
+    """One row per (crew, day) with the three day flags and the first row of
+    each reserve code and of ASN.
+
+    A single aggregate (partial per task, then one shuffle on crew and day)
+    replaces the source's per-group sort: the flags compare the sort keys of
+    the last rows of each code set, the first rows are ``min`` of
+    (sort key, row). Everything later reads this summary.
+    """
+    agg = group_flags(
         rows,
         DAY,
         {
@@ -63,26 +79,33 @@ def day_flags(rows: DataFrame) -> DataFrame:
             "last_overlap": last_key(P.OVERLAP_CODES),
             "last_asn": last_key((P.ASSIGNMENT_CODE,)),
             "last_asn_release": last_key(P.ASSIGNMENT_RELEASE_CODES),
+            **{f"first_{c}": _first_of(c) for c in (*P.FA_RESERVE_CODES, P.ASSIGNMENT_CODE)},
         },
     )
+    has_reserve = F.col("last_reserve").isNotNull()
+    return agg.select(
+        *DAY,
+        (has_reserve & after(F.col("last_release"), F.col("last_reserve"))).alias("released_reserve"),
+        (has_reserve & after(F.col("last_overlap"), F.col("last_claim"))).alias("overlap"),
+        after(F.col("last_asn_release"), F.col("last_asn")).alias("released_asn"),
+        *[f"first_{c}" for c in (*P.FA_RESERVE_CODES, P.ASSIGNMENT_CODE)],
+    )
 
 
-def released_after_reserve(flags: DataFrame) -> DataFrame:
+def released_after_reserve(summary: DataFrame) -> DataFrame:
     """Reserve days given back after their last reserve code."""
-    f = flags.where(F.col("last_reserve").isNotNull())
-    return f.where(after(F.col("last_release"), F.col("last_reserve"))).select(*DAY)
+    return summary.where(F.col("released_reserve")).select(*DAY)
 
 
-def overlap_days(flags: DataFrame) -> DataFrame:
+def overlap_days(summary: DataFrame) -> DataFrame:
     """Reserve days with an overlap code after the last claim code."""
-    f = flags.where(F.col("last_reserve").isNotNull())
-    return f.where(after(F.col("last_overlap"), F.col("last_claim"))).select(*DAY)
+    return summary.where(F.col("overlap")).select(*DAY)
 
 
-def released_after_asn(flags: DataFrame) -> DataFrame:
+def released_after_asn(summary: DataFrame) -> DataFrame:
     """Days with an assignment release after the last ASN (any release
     when the day has no ASN)."""
-    return flags.where(after(F.col("last_asn_release"), F.col("last_asn"))).select(*DAY)
+    return summary.where(F.col("released_asn")).select(*DAY)
 
 
 def reserve_position(rows: DataFrame) -> DataFrame:
@@ -90,23 +113,20 @@ def reserve_position(rows: DataFrame) -> DataFrame:
     return last_position(rows, DAY, P.FA_RESERVE_CODES, "last_rlv_pos").where(F.col("last_rlv_pos").isNotNull())
 
 
-def available_reserve(rows: DataFrame, flags: DataFrame) -> DataFrame:
+def available_reserve(summary: DataFrame) -> DataFrame:
     """M9: first row per (crew, day, code) of reserve days not given back."""
-    rsv = rows.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES))
-    rsv = first_per_key(rsv, DAY + ["TRANSACTION_CODE"], first_order())
-    rsv = anti_join(rsv, released_after_reserve(flags), DAY)
+    firsts = F.explode(F.array(*[F.col(f"first_{c}") for c in P.FA_RESERVE_CODES])).alias("r")
+    rsv = summary.where(~F.col("released_reserve")).select(firsts).where(F.col("r").isNotNull()).select("r.*")
     return lit_equipment(
         rsv.select("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE", STAMP, SEQ),
         P.FA_EQUIPMENT,
     )
 
 
-def paid_assignments(rows: DataFrame, flags: DataFrame) -> DataFrame:
+def paid_assignments(summary: DataFrame) -> DataFrame:
     """First ASN row per (crew, day) of assignments not given back."""
-    asn = rows.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
-    asn = first_per_key(asn, DAY + ["TRANSACTION_CODE"], first_order())
-    asn = anti_join(asn, released_after_asn(flags), DAY)
-    return asn.select(*ASN_COLS, SEQ)
+    asn = summary.where(~F.col("released_asn") & F.col(f"first_{P.ASSIGNMENT_CODE}").isNotNull())
+    return asn.select(f"first_{P.ASSIGNMENT_CODE}.*").select(*PAYLOAD)
 
 
 def assignment_single(paid: DataFrame) -> DataFrame:
@@ -143,10 +163,10 @@ def asn_with_reserve(days: DataFrame, available: DataFrame) -> DataFrame:
     return semi_join(days, available.select(*MATCH_COLS), MATCH_COLS)
 
 
-def carried(paid: DataFrame, flags: DataFrame) -> DataFrame:
+def carried(paid: DataFrame, summary: DataFrame) -> DataFrame:
     """Days after the first of each multi-day trip, except overlap days."""
     days = carried_days(assignment_expanded(paid))
-    return anti_join(days, overlap_days(flags), DAY)
+    return anti_join(days, overlap_days(summary), DAY)
 
 
 def reserve_minus_carried(available: DataFrame, carried_rows: DataFrame) -> DataFrame:
@@ -180,11 +200,13 @@ class Reconciled:
 
 
 def reconcile(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Reconciled:
+    """One scan and one shuffle of the log (the day summary, staged); every
+    later step reads the staged summary."""
     rows = explore_rows(history, params)
-    flags = day_flags(rows)
-    available = available_reserve(rows, flags)
-    paid = paid_assignments(rows, flags)
-    return Reconciled(rows, flags, available, paid, assignment_days(paid), carried(paid, flags))
+    summary = stage(day_summary(rows))
+    available = available_reserve(summary)
+    paid = paid_assignments(summary)
+    return Reconciled(rows, summary, available, paid, assignment_days(paid), carried(paid, summary))
 
 
 def reconciled_days(history: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFrame:
@@ -199,7 +221,7 @@ def utilization_hnl(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Data
 __all__ = [
     "NAME",
     "explore_rows",
-    "day_flags",
+    "day_summary",
     "released_after_reserve",
     "overlap_days",
     "released_after_asn",
