@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Tables:
-    """The two crew tables of one scale factor (lazy; nothing is read yet)."""
+    """The two crew tables of one scale factor (built on first use)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.txn = fixtures.txn(spark, sf_dir)
-        self.sched = fixtures.sched(spark, sf_dir)
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def txn(self) -> DataFrame:
+        return fixtures.txn(self.spark, self.sf_dir)
+
+    @cached_property
+    def sched(self) -> DataFrame:
+        return fixtures.sched(self.spark, self.sf_dir)
 
 
 def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
