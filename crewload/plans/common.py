@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import stamp_order, update_stamp
 from ..params import SILVER_COLUMNS
-from ..session import scratch_path
+from ..session import stage  # noqa: F401  (re-exported for the plans)
 
 STAMP = "update_dt"
 SEQ = "TXN_SEQ"
@@ -47,19 +47,3 @@ def keyed(keys, backfill: bool):
 
 def lit_equipment(df: DataFrame, value: str) -> DataFrame:
     return df.withColumn("EQUIPMENT", F.lit(value))
-
-
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Materialise a result that several branches read.
-
-    Column pruning gives each branch a different plan, so Spark would scan
-    and shuffle the log once per branch. Instead the (already deduplicated,
-    much smaller) rows are written once as a Parquet table in the cluster's
-    shared checkpoint folder and every branch reads that table: the lineage
-    is cut there (a lost executor recomputes from the table, not from the
-    log), and each branch reads only the columns it needs.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

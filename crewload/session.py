@@ -52,3 +52,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/crewload/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str = "stage"):
+    """Materialise a result that several branches (or a later write) read.
+
+    Column pruning gives each branch a different plan, so Spark would scan
+    and shuffle the source once per branch. Instead the rows are written
+    once as a Parquet table in the cluster's shared checkpoint folder and
+    read back: the lineage is cut there (a lost executor recomputes from the
+    table, not from the source), and each reader reads only its columns.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

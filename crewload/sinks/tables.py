@@ -1,33 +1,40 @@
 """Silver table sinks: overwrite (S6), guarded append.
 
 The table is Parquet partitioned by ``BID_PERIOD``. An append first stages
-the guarded batch with a reliable ``checkpoint()`` (in the cluster's shared
-checkpoint folder), so the anti join against the target is finished before
-any file is added to it and a lost executor recomputes from the staged copy
-rather than from a target that has already changed.
+the batch as a table in the cluster's shared checkpoint folder (computed
+once, lineage cut), takes its day range from that copy, and anti-joins it
+against the target pruned to that range. The target's file list is fixed
+when it is read, so files added by the append itself are never compared,
+and a retried task recomputes from the staged copy.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import append_guard
 from ..params import SILVER_COLUMNS
 from ..schema import SILVER
-from ..session import ensure_checkpoint_dir
+from ..session import stage
 
 PARTITION = "BID_PERIOD"
 
 
+def _writer(df: DataFrame, mode: str, partition_by: str | None):
+    """Partitioned writer. The ``rebalance`` hint adds one shuffle on the
+    partition column that AQE may split (a huge bid period is written by
+    many tasks) or merge (small periods do not leave many tiny files)."""
+    if partition_by and partition_by in df.columns:
+        return df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+    return df.write.mode(mode)
+
+
 def write_overwrite(df: DataFrame, path: str, partition_by: str | None = PARTITION) -> None:
     """Replace the whole table."""
-    w = df.write.mode("overwrite")
-    if partition_by and partition_by in df.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    _writer(df, "overwrite", partition_by).parquet(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -58,24 +65,19 @@ def guarded_rows(batch: DataFrame, target: DataFrame, day_range: tuple | None =
 def append_guarded(spark: SparkSession, batch: DataFrame, path: str, partition_by: str | None = PARTITION) -> int:
     """S7 + S8: append the guarded batch and return the rows added.
 
-    The count comes from an ``Observation`` on the write itself, not from a
-    second pass over the data.
+    The rows to add are staged before the append, so the comparison with
+    the target is complete before the target changes; their number is read
+    from the staged files' footers (no second pass over the data).
     """
-    ensure_checkpoint_dir(spark)
+    staged = stage(batch, "append-batch")
     target = read_silver(spark, path)
-    staged = guarded_rows(batch, target, batch_day_range(batch)).checkpoint(eager=True)
-    obs = Observation("appended")
-    out = staged.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = out.write.mode("append")
-    if partition_by and partition_by in out.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return int(obs.get["rows"])
+    rows = stage(guarded_rows(staged, target, batch_day_range(staged)), "append-rows")
+    n = rows.count()
+    if n:
+        _writer(rows, "append", partition_by).parquet(path)
+    return n
 
 
 def append_plain(df: DataFrame, path: str, partition_by: str | None = PARTITION) -> None:
     """The pilot backfill appends without a guard."""
-    w = df.write.mode("append")
-    if partition_by and partition_by in df.columns:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    _writer(df, "append", partition_by).parquet(path)
