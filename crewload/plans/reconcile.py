@@ -9,10 +9,11 @@ Per crew and day the log is read in update order:
 * a day has an overlap when an overlap code follows its last reserve or
   assignment code (W4).
 
-These are computed once, as one aggregate per (crew, day) over sort keys
-(see ``operators.groups``), and reach the rows through null-safe semi/anti
-joins. Assignment days count only when the crew was on reserve that day
-(J5); reserve days after the first day of a multi-day trip are removed
+All three, and the first row of each reserve code and of ASN, come from one
+aggregate per (crew, day) over sort keys (see ``operators.groups``): one
+scan and one shuffle of the log, staged, and everything later reads the
+staged summary. Assignment days count only when the crew was on reserve that
+day (J5); reserve days after the first day of a multi-day trip are removed
 unless the day has an overlap (X4, J7).
 """
 
