@@ -54,5 +54,5 @@ def incremental_cutoff(run_date, lead_days: int = 7, day: int = 25) -> Column:
 
 def backfill_cutoff(bid_period="BID_PERIOD", day: int = 24) -> Column:
     """P3: '<bid period, day> minus one month' at midnight, per row."""
-    anchor = F.to_date(F.concat(_col(bid_period), F.lit(f"-{day:02d}")), "yyyy-MM-dd")
+    anchor = F.try_to_date(F.concat(_col(bid_period), F.lit(f"-{day:02d}")), "yyyy-MM-dd")
     return F.concat(F.date_format(F.add_months(anchor, -1), "yyyy-MM-dd"), F.lit(" 00:00:00"))

@@ -40,14 +40,19 @@ def multi_day(df: DataFrame) -> DataFrame:
     return df.where(F.col("PAIRING_DATE") != F.col("TO_DATE"))
 
 
-def expand_single(df: DataFrame, dedup_keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def expand_single(
+    df: DataFrame, dedup_keys: Sequence[str], order: Sequence[Column], input_unique: bool = False
+) -> DataFrame:
     """Single-day trips, one row per ``dedup_keys`` (DATE is the day).
 
     Unpivoting a single-day row yields two identical days, which the dedup
-    folds into one, so the day is simply PAIRING_DATE.
+    folds into one, so the day is simply PAIRING_DATE. ``input_unique``
+    states that ``df`` already has one row per ``dedup_keys`` (the caller
+    deduplicated on a finer-or-equal key), and skips the no-op shuffle.
     """
     rows = single_day(df).withColumn(DATE, F.col("PAIRING_DATE")).withColumn(NAME, F.lit("PAIRING_DATE"))
-    rows = first_per_key(rows, dedup_keys, order)
+    if not input_unique:
+        rows = first_per_key(rows, dedup_keys, order)
     return rows.drop("PAIRING_DATE", "TO_DATE").withColumnRenamed(DATE, "PAIRING_DATE")
 
 

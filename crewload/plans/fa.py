@@ -74,7 +74,9 @@ def fa_pad_keys(backfill: bool):
 
 
 def fa_single(asn: DataFrame, backfill: bool) -> DataFrame:
-    return lit_equipment(expand_single(asn, fa_day_keys(backfill), first_order()), P.FA_EQUIPMENT)
+    # backfill ASN rows are already one per (period, crew, day, code), which
+    # makes the single-day key (period, crew, code, day, pairing) unique
+    return lit_equipment(expand_single(asn, fa_day_keys(backfill), first_order(), input_unique=backfill), P.FA_EQUIPMENT)
 
 
 def fa_multi(asn: DataFrame, backfill: bool) -> DataFrame:

@@ -131,8 +131,9 @@ def paid_assignments(summary: DataFrame) -> DataFrame:
 
 
 def assignment_single(paid: DataFrame) -> DataFrame:
-    """X2 on paid assignments."""
-    return lit_equipment(expand_single(paid, DAY_KEYS, first_order()), P.FA_EQUIPMENT)
+    """X2 on paid assignments (one per crew and day already, so the
+    single-day key is unique and its dedup is skipped)."""
+    return lit_equipment(expand_single(paid, DAY_KEYS, first_order(), input_unique=True), P.FA_EQUIPMENT)
 
 
 def assignment_expanded(paid: DataFrame) -> DataFrame:
