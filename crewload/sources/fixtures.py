@@ -3,105 +3,76 @@
 The driver ships no crew data, so ``events`` becomes the transaction log and
 ``orders`` the versioned crew schedule (rules in FIXTURES.md §2). The columns
 and types are those of the real sources, so every plan reads these exactly as
-it would read the production tables.
+it would read the production tables. The derivation is plain Spark SQL
+expressions (``selectExpr``): one projection over each scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# --- fixed values: derivation rules of the two crew views (FIXTURES.md §2) ---
+TXN_STAGE = [
+    "event_id AS TXN_SEQ",
+    "CASE WHEN user_id % 3 = 0 THEN 'P' ELSE 'FA' END AS CREW_INDICATOR",
+    "CAST(user_id AS STRING) AS CREW_ID",
+    """CASE WHEN event_type IN ('signup','view') THEN
+         CASE WHEN user_id % 3 = 0 THEN CASE WHEN event_id % 2 = 0 THEN 'SCR' ELSE 'ARC' END
+              ELSE CASE WHEN event_id % 2 = 0 THEN 'RLV' ELSE 'RSV' END END
+       WHEN event_type = 'purchase' THEN 'ASN'
+       WHEN event_type = 'error' THEN CASE event_id % 4 WHEN 0 THEN 'SNO' WHEN 1 THEN 'GDO' WHEN 2 THEN 'OFF' ELSE 'DRP' END
+       ELSE CASE event_id % 9 WHEN 0 THEN 'FLP' WHEN 1 THEN 'FLU' WHEN 2 THEN '2SK' WHEN 3 THEN 'FLV' WHEN 4 THEN 'FLS'
+            WHEN 5 THEN 'SOP' WHEN 6 THEN 'REM' WHEN 7 THEN 'FAR' ELSE 'MIL' END END AS TRANSACTION_CODE""",
+    "date_add(CAST(ts AS DATE), CAST(30 * (user_id % 4) AS INT)) AS PAIRING_DATE",
+    """CASE WHEN user_id % 3 <> 0 THEN 'FA' WHEN user_id % 15 = 0 THEN 'SO' WHEN user_id % 6 = 0 THEN 'CA'
+       ELSE 'FO' END AS PAIRING_POSITION""",
+    """CASE WHEN event_id % 89 = 0 THEN NULL WHEN user_id % 5 = 0 THEN 'LAX' WHEN user_id % 5 = 1 THEN 'SEA'
+       ELSE 'HNL' END AS BASE""",
+    "substr(CAST(ts AS STRING), 12, 8) AS UPDATE_TIME",
+]
+TXN_FINAL = [
+    "TXN_SEQ",
+    "CREW_INDICATOR",
+    "CREW_ID",
+    "TRANSACTION_CODE",
+    "CASE WHEN TRANSACTION_CODE = 'ASN' THEN CAST(TXN_SEQ % 200 AS STRING) END AS PAIRING_NO",
+    "PAIRING_DATE",
+    """CASE WHEN TXN_SEQ % 97 = 0 THEN NULL
+       WHEN TRANSACTION_CODE = 'ASN' THEN date_add(PAIRING_DATE, CAST(TXN_SEQ % 4 AS INT))
+       ELSE PAIRING_DATE END AS TO_DATE""",
+    "PAIRING_POSITION",
+    "substr(CAST(PAIRING_DATE AS STRING), 1, 7) AS BID_PERIOD",
+    "BASE",
+    "date_sub(PAIRING_DATE, CAST(TXN_SEQ % 60 AS INT)) AS UPDATE_DATE",
+    "UPDATE_TIME",
+]
+SCHED_COLS = [
+    "o_orderkey AS SCHED_SEQ",
+    "CAST(o_custkey AS STRING) AS CREW_ID",
+    "date_add(DATE'2024-01-01', CAST(30 * (o_orderkey % 4) AS INT)) AS EFFECTIVE_FROM_DATE",
+    "date_add(DATE'2024-01-30', CAST(30 * (o_orderkey % 4) AS INT)) AS EFFECTIVE_TO_DATE",
+    """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '717' WHEN '2' THEN '789' WHEN '3' THEN '33Y'
+       WHEN '4' THEN '330' ELSE NULL END AS EQUIPMENT""",
+    """CASE WHEN o_custkey % 3 <> 0 THEN 'FA' WHEN o_custkey % 15 = 0 THEN 'SO' WHEN o_custkey % 6 = 0 THEN 'CA'
+       ELSE 'FO' END AS PAIRING_POSITION""",
+    "concat('2024-0', CAST(1 + o_orderkey % 4 AS STRING)) AS BID_DATE",
+    "CAST(o_orderdate AS DATE) AS UPDATE_DATE",
+    "'12:00:00' AS UPDATE_TIME",
+    "CASE WHEN o_custkey % 5 = 0 THEN 'LAX' WHEN o_custkey % 5 = 1 THEN 'SEA' ELSE 'HNL' END AS BASE",
+    "o_orderstatus AS BID_TYPE",
+]
+# ---------------------------------------------------------------------------
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mod_case(expr: Column, n: int, labels: list[str]) -> Column:
-    out = None
-    for i, label in enumerate(labels):
-        cond = (expr % n) == i
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out
-
-
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction log (CT_MASTER_HISTORY shape) from ``events``."""
-    e = _table(spark, sf_dir, "events")
-    uid, eid, etype = F.col("user_id"), F.col("event_id"), F.col("event_type")
-    is_pilot = (uid % 3) == 0
-    code = (
-        F.when(
-            etype.isin("signup", "view"),
-            F.when(is_pilot, F.when(eid % 2 == 0, "SCR").otherwise("ARC")).otherwise(
-                F.when(eid % 2 == 0, "RLV").otherwise("RSV")
-            ),
-        )
-        .when(etype == "purchase", "ASN")
-        .when(etype == "error", _mod_case(eid, 4, ["SNO", "GDO", "OFF", "DRP"]))
-        .otherwise(_mod_case(eid, 9, ["FLP", "FLU", "2SK", "FLV", "FLS", "SOP", "REM", "FAR", "MIL"]))
-    )
-    base = (
-        F.when(eid % 89 == 0, F.lit(None).cast("string"))
-        .when(uid % 5 == 0, "LAX")
-        .when(uid % 5 == 1, "SEA")
-        .otherwise("HNL")
-    )
-    seat = (
-        F.when(~is_pilot, "FA").when(uid % 15 == 0, "SO").when(uid % 6 == 0, "CA").otherwise("FO")
-    )
-    stage = e.select(
-        eid.alias("TXN_SEQ"),
-        F.when(is_pilot, "P").otherwise("FA").alias("CREW_INDICATOR"),
-        uid.cast("string").alias("CREW_ID"),
-        code.alias("TRANSACTION_CODE"),
-        F.date_add(F.col("ts").cast("date"), (F.lit(30) * (uid % 4)).cast("int")).alias("PAIRING_DATE"),
-        seat.alias("PAIRING_POSITION"),
-        base.alias("BASE"),
-        F.substring(F.col("ts").cast("string"), 12, 8).alias("UPDATE_TIME"),
-    )
-    asn = F.col("TRANSACTION_CODE") == "ASN"
-    seq = F.col("TXN_SEQ")
-    return stage.select(
-        "TXN_SEQ",
-        "CREW_INDICATOR",
-        "CREW_ID",
-        "TRANSACTION_CODE",
-        F.when(asn, (seq % 200).cast("string")).alias("PAIRING_NO"),
-        "PAIRING_DATE",
-        F.when(seq % 97 == 0, F.lit(None).cast("date"))
-        .when(asn, F.date_add("PAIRING_DATE", (seq % 4).cast("int")))
-        .otherwise(F.col("PAIRING_DATE"))
-        .alias("TO_DATE"),
-        "PAIRING_POSITION",
-        F.date_format("PAIRING_DATE", "yyyy-MM").alias("BID_PERIOD"),
-        "BASE",
-        F.date_sub("PAIRING_DATE", (seq % 60).cast("int")).alias("UPDATE_DATE"),
-        "UPDATE_TIME",
-    )
+    return _table(spark, sf_dir, "events").selectExpr(*TXN_STAGE).selectExpr(*TXN_FINAL)
 
 
 def sched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crew schedule versions (CT_MASTER_SCHEDULE shape) from ``orders``."""
-    o = _table(spark, sf_dir, "orders")
-    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    shift = (F.lit(30) * (ok % 4)).cast("int")
-    prio = F.substring("o_orderpriority", 1, 1)
-    return o.select(
-        ok.alias("SCHED_SEQ"),
-        ck.cast("string").alias("CREW_ID"),
-        F.date_add(F.lit("2024-01-01").cast("date"), shift).alias("EFFECTIVE_FROM_DATE"),
-        F.date_add(F.lit("2024-01-30").cast("date"), shift).alias("EFFECTIVE_TO_DATE"),
-        F.when(prio == "1", "717")
-        .when(prio == "2", "789")
-        .when(prio == "3", "33Y")
-        .when(prio == "4", "330")
-        .alias("EQUIPMENT"),
-        F.when(ck % 3 != 0, "FA").when(ck % 15 == 0, "SO").when(ck % 6 == 0, "CA").otherwise("FO").alias(
-            "PAIRING_POSITION"
-        ),
-        F.concat(F.lit("2024-0"), (1 + ok % 4).cast("string")).alias("BID_DATE"),
-        F.col("o_orderdate").cast("date").alias("UPDATE_DATE"),
-        F.lit("12:00:00").alias("UPDATE_TIME"),
-        F.when(ck % 5 == 0, "LAX").when(ck % 5 == 1, "SEA").otherwise("HNL").alias("BASE"),
-        F.col("o_orderstatus").alias("BID_TYPE"),
-    )
+    return _table(spark, sf_dir, "orders").selectExpr(*SCHED_COLS)
