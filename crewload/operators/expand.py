@@ -78,29 +78,24 @@ def pad_days(
     """
     w = Window.partitionBy(*group_keys).orderBy(F.col(DATE).asc(), *tiebreak)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = ends.columns
     # Group keys are constant inside a group, so only the other fill columns
     # need the window; all window expressions go in one projection, so they
     # share one sort and the exchange on the group keys is not repeated.
     to_fill = [c for c in fill_cols if c not in group_keys]
-    out = ends.select(
-        *[F.last(c, ignorenulls=True).over(upto).alias(c) if c in to_fill else F.col(c) for c in ends.columns],
+    win = ends.select(
+        *[F.last(c, ignorenulls=True).over(upto).alias(c) if c in to_fill else F.col(c) for c in cols],
         F.lead(DATE).over(w).alias("__next"),
     )
-    last_day = F.when(F.col("__next").isNull() | (F.col("__next") <= F.col(DATE)), F.col(DATE)).otherwise(
-        F.date_sub("__next", 1)
+    nxt, day = F.col("__next"), F.col(DATE)
+    last_day = F.when(nxt.isNull() | (nxt <= day), day).otherwise(F.date_sub(nxt, 1))
+    spread = win.select(*cols, F.explode(F.sequence(day, last_day)).alias("__day"))
+    inserted = F.col("__day") != day
+    keep = set(group_keys) | set(fill_cols)
+    return spread.select(
+        *[F.col(c) if c in keep else F.when(inserted, F.lit(None)).otherwise(F.col(c)).alias(c) for c in cols if c != DATE],
+        F.col("__day").alias(DATE),
     )
-    out = out.withColumn("__day", F.explode(F.sequence(F.col(DATE), last_day)))
-    inserted = F.col("__day") != F.col(DATE)
-    keep = set(group_keys) | set(fill_cols) | {DATE, "__day", "__next"}
-    cols = []
-    for c in out.columns:
-        if c in ("__day", "__next", DATE):
-            continue
-        if c in keep:
-            cols.append(F.col(c))
-        else:
-            cols.append(F.when(inserted, F.lit(None)).otherwise(F.col(c)).alias(c))
-    return out.select(*cols, F.col("__day").alias(DATE))
 
 
 def expand_multi(

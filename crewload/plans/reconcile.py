@@ -142,12 +142,13 @@ def assignment_expanded(paid: DataFrame) -> DataFrame:
     return lit_equipment(out.withColumnRenamed(DATE, "PAIRING_DATE"), P.FA_EQUIPMENT)
 
 
-def assignment_days(paid: DataFrame) -> DataFrame:
+def assignment_days(paid: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
     """First assignment row per (crew, day): single-day trips before
     multi-day ones, then by pairing number and stamp (one row per trip and
     day, so the order is total)."""
+    expanded = assignment_expanded(paid) if expanded is None else expanded
     single = assignment_single(paid).withColumn("__src", F.lit(0))
-    multi = assignment_expanded(paid).withColumn("__src", F.lit(1))
+    multi = expanded.withColumn("__src", F.lit(1))
     cols = [*P.SILVER_COLUMNS, "PAIRING_NO", STAMP, "__src"]
     both = union_by_name(single.select(*cols), multi.select(*cols))
     order = [F.col("__src").asc(), F.col("PAIRING_NO").asc_nulls_last(), F.col(STAMP).asc_nulls_last()]
@@ -165,9 +166,10 @@ def asn_with_reserve(days: DataFrame, available: DataFrame) -> DataFrame:
     return semi_join(days, available.select(*MATCH_COLS), MATCH_COLS)
 
 
-def carried(paid: DataFrame, summary: DataFrame) -> DataFrame:
+def carried(paid: DataFrame, summary: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
     """Days after the first of each multi-day trip, except overlap days."""
-    days = carried_days(assignment_expanded(paid))
+    expanded = assignment_expanded(paid) if expanded is None else expanded
+    days = carried_days(expanded)
     return anti_join(days, overlap_days(summary), DAY)
 
 
@@ -208,7 +210,8 @@ def reconcile(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Reconciled
     summary = stage(day_summary(rows))
     available = available_reserve(summary)
     paid = paid_assignments(summary)
-    return Reconciled(rows, summary, available, paid, assignment_days(paid), carried(paid, summary))
+    expanded = assignment_expanded(paid)  # one plan for both uses
+    return Reconciled(rows, summary, available, paid, assignment_days(paid, expanded), carried(paid, summary, expanded))
 
 
 def reconciled_days(history: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFrame:
