@@ -36,16 +36,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a private one only when
-    the session has none (tests, local runs)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``
+    as the session sees it); create a private one only when the session has
+    none (tests, local runs)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
     path = conf or tempfile.mkdtemp(prefix="crewload-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
