@@ -7,7 +7,7 @@ so a query never reads the clock: the caller passes ``run_date``.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values: must equal the source system's codes -------------------
 FA = "FA"
@@ -75,7 +75,7 @@ class RunParams:
     asn_rows_only: bool = False  # FA incremental keeps whole ASN groups
     fold_arc_in_backfill: bool = False  # backfill compares with "ACR"
     flag_date_intent: bool = False  # 789 rule inert unless switched on
-    extra: dict = field(default_factory=dict, compare=False)
+    pilot_cutoff_day: int | None = None  # P5: commented pilot reserve cutoff (day 21) when set
 
     def day(self, offset: int) -> dt.date:
         return self.run_date + dt.timedelta(days=offset)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.dates import update_stamp
+from ..functions.dates import incremental_cutoff, update_stamp
 from ..functions.predicates import flag_rule_keep, fold_code, if_else, not_equal_drop_null
 from ..operators.dedup import first_per_key, latest_per_key
 from ..operators.expand import DATE, expand_multi, expand_single
@@ -103,13 +103,21 @@ def pilot_multi(asn: DataFrame, backfill: bool) -> DataFrame:
     return out.withColumnRenamed(DATE, "PAIRING_DATE")
 
 
-def pilot_firsts(scan: DataFrame, sched_latest: DataFrame, backfill: bool) -> DataFrame:
+def pilot_firsts(
+    scan: DataFrame, sched_latest: DataFrame, backfill: bool, params: P.RunParams = P.DEFAULT
+) -> DataFrame:
     """Reserve and ASN rows share the dedup key, so one window pass over one
     scan finds both, and one join gives them their equipment. The join is a
     left join with a match marker: reserve rows keep unmatched days in the
-    backfill (left join), ASN rows never do (inner join)."""
+    backfill (left join), ASN rows never do (inner join). With
+    ``pilot_cutoff_day`` set, incremental reserve rows must be stamped before
+    that cutoff (P5), as FA reserve rows are."""
     codes = P.PILOT_RESERVE_CODES + (P.ASSIGNMENT_CODE,)
-    rows = _pilot_rows(scan, codes, backfill).select(
+    rows = scan
+    if params.pilot_cutoff_day is not None and not backfill:
+        cutoff = incremental_cutoff(F.lit(params.run_date), params.cutoff_lead_days, params.pilot_cutoff_day)
+        rows = with_stamp(rows).where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) | (F.col(STAMP) < cutoff))
+    rows = _pilot_rows(rows, codes, backfill).select(
         "CREW_INDICATOR",
         "CREW_ID",
         "TRANSACTION_CODE",
@@ -132,7 +140,7 @@ def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams =
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
     latest = latest_schedule(schedule, params, backfill)
-    firsts = stage(pilot_firsts(scan, latest, backfill))
+    firsts = stage(pilot_firsts(scan, latest, backfill, params))
     reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
     asn = firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
     out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill)))

@@ -186,3 +186,21 @@ def test_w2_position_counts_rows_in_update_order(spark):
     pos = rc.reserve_position(r.rows).collect()
     assert [x["last_rlv_pos"] for x in pos] == [3]
     assert days(rc.released_after_reserve(r.flags)) == [5]
+
+
+def test_p5_optional_pilot_cutoff(spark):
+    from crewload.schema import SCHED
+
+    rows = [
+        ("SCR", D(10, 3), D(10, 3), None, "2024-02-20 23:59:59"),
+        ("SCR", D(11, 3), D(11, 3), None, "2024-02-21 00:00:00"),
+        ("ASN", D(12, 3), D(12, 3), "5", "2024-03-01 08:00:00"),
+    ]
+    hist = txn_rows(spark, rows, crew="9", indicator="P", base="LAX", position="CA")
+    sched = spark.createDataFrame(
+        [(1, "9", D(1, 3), D(31, 3), "330", "CA", "2024-03", D(1, 2), "12:00:00", "LAX", "O")], SCHED
+    )
+    plain = pilot.pilot_silver(hist, sched, P.DEFAULT, backfill=False)
+    assert days(plain) == [10, 11, 12]
+    cut = pilot.pilot_silver(hist, sched, P.DEFAULT.with_(pilot_cutoff_day=21), backfill=False)
+    assert days(cut) == [10, 12]  # cutoff 2024-02-21 00:00:00, strict; ASN rows unaffected
