@@ -10,15 +10,36 @@ from pyspark.sql import SparkSession
 
 # Settings every job wants whatever the cluster size: AQE re-plans joins and
 # partition counts from runtime sizes and splits skewed join partitions.
+# Broadcast joins are chosen only from *measured* sizes: the plan-time guess
+# (compressed file bytes, which can be far below the in-memory size) is
+# switched off, and AQE broadcasts a side once its shuffle output is known
+# to be under the runtime threshold.
 SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "crewload") -> SparkSession:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run: enough shuffle partitions that
+    each holds about ``target_partition_bytes`` of the input (AQE merges the
+    small ones), never fewer than two per core; scan splits of the same
+    size."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
+def build_session(
+    master: str = "local[8]", shuffle_partitions: int = 8, app: str = "crewload", conf: dict | None = None
+) -> SparkSession:
     b = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -27,7 +48,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CREWLOAD_DRIVER_MEMORY", "16g"))
     )
-    for k, v in SQL_DEFAULTS.items():
+    for k, v in {**SQL_DEFAULTS, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
