@@ -88,9 +88,12 @@ def pad_days(
         F.lead(DATE).over(w).alias("__next"),
     )
     nxt, day = F.col("__next"), F.col(DATE)
-    last_day = F.when(nxt.isNull() | (nxt <= day), day).otherwise(F.date_sub(nxt, 1))
-    spread = win.select(*cols, F.explode(F.sequence(day, last_day)).alias("__day"))
-    inserted = F.col("__day") != day
+    # days to emit after this end: up to the day before the next end; an
+    # integer offset range keeps the expansion free of session time zones
+    span = F.when(nxt.isNull() | (nxt <= day), F.lit(0)).otherwise(F.datediff(nxt, day) - 1)
+    spread = win.select(*cols, F.explode(F.sequence(F.lit(0), span)).alias("__off"))
+    spread = spread.withColumn("__day", F.date_add(day, F.col("__off")))
+    inserted = F.col("__off") > 0
     keep = set(group_keys) | set(fill_cols)
     return spread.select(
         *[F.col(c) if c in keep else F.when(inserted, F.lit(None)).otherwise(F.col(c)).alias(c) for c in cols if c != DATE],

@@ -67,3 +67,14 @@ def test_append_roundtrip_second_run_adds_nothing(spark, txn):
     first = sinks.append_guarded(spark, batch, path)
     assert first > 0
     assert sinks.append_guarded(spark, batch, path) == 0
+
+
+def test_result_independent_of_session_time_zone(spark, txn):
+    base = multiset(rc.reconciled_days(txn))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Pacific/Honolulu", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert multiset(rc.reconciled_days(txn)) == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
