@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -81,6 +82,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/crewload/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession):
+    """Delete every table staged inside the ``with`` block when it ends.
+
+    Use it around jobs that *finish* inside the block (writes, counts);
+    DataFrames returned out of the block must not read staged tables.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        for p in paths:
+            delete_path(spark, p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the cluster's file system client."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def stage(df, name: str = "stage"):
     """Materialise a result that several branches (or a later write) read.
 
@@ -93,4 +121,6 @@ def stage(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)

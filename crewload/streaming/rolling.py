@@ -19,14 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import params as P
 from ..plans.fa import fa_silver
 from ..plans.pilot import pilot_silver
+from ..session import staging_scope
 from ..sinks.tables import append_guarded, append_plain, write_overwrite
 
 
 def run_backfill(history: DataFrame, schedule: DataFrame, table_path: str, params: P.RunParams = P.DEFAULT) -> None:
     """Build the table from scratch: FA backfill overwrites, the pilot
     backfill appends (the order matters, as in the source)."""
-    write_overwrite(fa_silver(history, params, backfill=True), table_path)
-    append_plain(pilot_silver(history, schedule, params, backfill=True), table_path)
+    spark = history.sparkSession
+    with staging_scope(spark):
+        write_overwrite(fa_silver(history, params, backfill=True), table_path)
+        append_plain(pilot_silver(history, schedule, params, backfill=True), table_path)
 
 
 def run_incremental(
@@ -34,8 +37,9 @@ def run_incremental(
 ) -> dict[str, int]:
     """One rolling refresh: FA batch then pilot batch, each appended behind
     the guard. Running it twice adds nothing the second time."""
-    added_fa = append_guarded(spark, fa_silver(history, params, backfill=False), table_path)
-    added_pilot = append_guarded(spark, pilot_silver(history, schedule, params, backfill=False), table_path)
+    with staging_scope(spark):
+        added_fa = append_guarded(spark, fa_silver(history, params, backfill=False), table_path)
+        added_pilot = append_guarded(spark, pilot_silver(history, schedule, params, backfill=False), table_path)
     return {"fa": added_fa, "pilot": added_pilot}
 
 

@@ -33,3 +33,21 @@ def test_refresh_on_arrival_matches_backfill_plus_guarded_runs(spark):
     q2.awaitTermination(600)
     assert run_incremental(spark, history, sched, table, P.DEFAULT) == {"fa": 0, "pilot": 0}
     assert sum(Counter(tuple(r) for r in read_silver(spark, table).collect()).values()) == sum(want.values())
+
+
+def test_lifecycle_jobs_remove_their_staging(spark):
+    import os
+
+    from crewload.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).replace("file:", "") + "/crewload"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    txn = fixtures.txn(spark, SF_SMALL)
+    sched = fixtures.sched(spark, SF_SMALL)
+    table = scratch_path(spark, "table-scope")
+    run_backfill(txn, sched, table, P.DEFAULT)
+    run_incremental(spark, txn, sched, table, P.DEFAULT)
+    after = set(os.listdir(root))
+    leftover = [d for d in after - before if not d.startswith("table-scope")]
+    assert leftover == []
+    assert read_silver(spark, table).count() > 0
