@@ -94,16 +94,38 @@ def fa_backfill_firsts(scan: DataFrame, params: P.RunParams) -> DataFrame:
     return rows.select(*ASN_COLS, SEQ)
 
 
+def fa_incremental_parts(scan: DataFrame, params: P.RunParams) -> tuple[DataFrame, DataFrame]:
+    """Incremental reserve and assignment rows from one pass over the log.
+
+    The assignment branch keeps the first row per (crew, day, code, stamp);
+    the reserve branch the first per (crew, day, code) before the cutoff,
+    which is the first of those finer first rows. So one window pass on the
+    finer key (partial top-1 before the shuffle), staged once, feeds both;
+    the "day holds an ASN" test is a distinct of that staged table joined
+    back (null-safe semi join).
+    """
+    rows = with_stamp(scan.where(F.col("CREW_INDICATOR") == P.FA))
+    fine = stage(
+        first_per_key(rows, ["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE", STAMP], first_order()).select(*ASN_COLS, SEQ),
+        "fa-inc-firsts",
+    )
+    rsv = fine.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES) & (F.col(STAMP) < fa_cutoff(params, False)))
+    rsv = first_per_key(rsv, ["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"], first_order())
+    reserve = lit_equipment(rsv, P.FA_EQUIPMENT)
+    is_asn = F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE
+    asn = fine.where(is_asn) if params.asn_rows_only else group_any(fine, ["CREW_ID", "PAIRING_DATE"], is_asn)
+    return reserve, asn
+
+
 def fa_silver(history: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M4 (backfill) / M5 (incremental): union, date cap, RSV counted as RLV."""
     scan = fa_scan(history, params, backfill)
     if backfill:
-        firsts = stage(fa_backfill_firsts(scan, params))
+        firsts = stage(fa_backfill_firsts(scan, params), "fa-bf-firsts")
         reserve = lit_equipment(firsts.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES)), P.FA_EQUIPMENT)
         asn = firsts.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
     else:
-        reserve = fa_reserve(scan, params, backfill)
-        asn = fa_assignments(scan, params, backfill)
+        reserve, asn = fa_incremental_parts(scan, params)
     parts = [silver(reserve), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill))]
     cap = params.run_date if backfill else params.incremental_cap
     out = union_by_name(*parts).where(F.col("PAIRING_DATE") <= F.lit(cap))
