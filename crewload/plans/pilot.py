@@ -2,9 +2,9 @@
 
 Pilot days are joined to the latest schedule version on crew, bid period,
 seat and base (NULL matching NULL) to learn the equipment. The schedule is a
-dimension (one row per crew, version and seat), far smaller than the log;
-the join is a plain equi-join and AQE broadcasts it only when its runtime
-size is under the threshold.
+dimension (one row per crew, version and seat), far smaller than the log:
+its latest versions are staged and measured, and broadcast only when the
+measured size fits; otherwise the join is a shuffle join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from ..functions.dates import incremental_cutoff, update_stamp
 from ..functions.predicates import flag_rule_keep, fold_code, if_else, not_equal_drop_null
 from ..operators.dedup import first_per_key, latest_per_key
 from ..operators.expand import DATE, expand_multi, expand_single
-from ..operators.joins import join_null_safe
+from ..operators.joins import broadcast_if_small, join_null_safe
 from ..operators.reshape import union_by_name
 from ..sources.history import scan_bid_periods, scan_window, schedule_scan
 from .common import FILL_COLS, SEQ, STAMP, first_order, keyed, silver, stage, with_stamp
@@ -131,7 +131,7 @@ def pilot_firsts(
         SEQ,
     )
     rows = rows.where(F.col("PAIRING_POSITION").isin(*P.PILOT_SEATS))
-    marked = sched_latest.withColumn("__matched", F.lit(True))
+    marked = broadcast_if_small(sched_latest).withColumn("__matched", F.lit(True))
     joined = join_null_safe(rows, marked, JOIN_KEYS, "left" if backfill else "inner")
     return joined.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False)))
 
@@ -139,8 +139,9 @@ def pilot_firsts(
 def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
-    latest = latest_schedule(schedule, params, backfill)
-    firsts = stage(pilot_firsts(scan, latest, backfill, params))
+    # the schedule is a dimension: stage it, measure it, broadcast it if small
+    latest = stage(latest_schedule(schedule, params, backfill), "sched-latest")
+    firsts = stage(pilot_firsts(scan, latest, backfill, params), "pilot-firsts")
     reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
     asn = firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
     out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill)))

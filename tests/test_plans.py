@@ -68,3 +68,19 @@ def test_no_cartesian_products(spark, name):
 
     s = plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in s and "BroadcastNestedLoopJoin" not in s
+
+
+def test_broadcast_only_when_measured_small(spark, history_table):
+    from crewload.operators.joins import broadcast_if_small, join_null_safe
+    from crewload.session import stage
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no plan-time guesses
+    try:
+        dim = stage(history_table.select("CREW_ID", "BASE").distinct(), "dim").withColumnRenamed("BASE", "B2")
+        small = join_null_safe(history_table, broadcast_if_small(dim), ["CREW_ID"])
+        assert "BroadcastHashJoin" in plan(small)
+        big = join_null_safe(history_table, broadcast_if_small(dim, max_bytes=16), ["CREW_ID"])
+        assert "BroadcastHashJoin" not in plan(big)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
