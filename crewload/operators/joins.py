@@ -37,23 +37,30 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return joined.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns], *[F.col(f"__r.{c}").alias(c) for c in right_only])
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark ``df`` for broadcast only when its size is *measured* to fit;
-    beyond the bound the join stays a shuffle join.
-
-    ``df`` should be a staged (materialised) table. One aggregate measures
-    its rows as Spark holds them (8 bytes of header plus 8 per field, plus
-    the variable-length bytes of string fields rounded up to words), and
-    the bound doubles that for the hash table built on it. Deciding before
-    the join is planned spares the big side its shuffle, which a runtime
-    (AQE) conversion cannot, as both sides are shuffled by then.
-    """
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes ``df`` takes as Spark rows, measured by one aggregate: 8 bytes
+    of header plus 8 per field, plus the bytes of each string field rounded
+    up to whole words."""
     fields = df.schema.fields
     per_row = F.lit(8 + 8 * len(fields))
     for f in fields:
         if f.dataType.typeName() in ("string", "binary"):
             per_row = per_row + F.coalesce(F.octet_length(F.col(f.name)) + 7, F.lit(0))
-    measured = df.agg(F.sum(per_row).alias("b")).first()["b"] or 0
+    return int(df.agg(F.sum(per_row).alias("b")).first()["b"] or 0)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20, bound_from: DataFrame | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only when its size is *measured* to fit
+    (twice the row bytes, for the hash table); beyond the bound the join
+    stays a shuffle join.
+
+    ``bound_from`` may be a cheaper DataFrame known to be at least as large
+    (e.g. the scan ``df`` is reduced from, with ``df``'s columns), so the
+    bound is proven without computing ``df`` twice. Deciding before the join
+    is planned spares the big side its shuffle, which a runtime (AQE)
+    conversion cannot: by then both sides are shuffled.
+    """
+    measured = measured_bytes(df if bound_from is None else bound_from)
     return F.broadcast(df) if 2 * measured <= max_bytes else df
 
 

@@ -3,8 +3,8 @@
 Pilot days are joined to the latest schedule version on crew, bid period,
 seat and base (NULL matching NULL) to learn the equipment. The schedule is a
 dimension (one row per crew, version and seat), far smaller than the log:
-its latest versions are staged and measured, and broadcast only when the
-measured size fits; otherwise the join is a shuffle join.
+its latest versions are broadcast only when the versions read measure small
+enough (one aggregate); otherwise the join is a shuffle join.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ def pilot_firsts(
         SEQ,
     )
     rows = rows.where(F.col("PAIRING_POSITION").isin(*P.PILOT_SEATS))
-    marked = broadcast_if_small(sched_latest).withColumn("__matched", F.lit(True))
+    marked = sched_latest.withColumn("__matched", F.lit(True))
     joined = join_null_safe(rows, marked, JOIN_KEYS, "left" if backfill else "inner")
     return joined.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False)))
 
@@ -139,8 +139,12 @@ def pilot_firsts(
 def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
-    # the schedule is a dimension: stage it, measure it, broadcast it if small
-    latest = stage(latest_schedule(schedule, params, backfill), "sched-latest")
+    # The schedule is a dimension: broadcast its latest versions when the
+    # versions read (a superset, same columns) measure small enough.
+    versions = schedule_versions(schedule, params, backfill).select(
+        "CREW_ID", F.col("BID_DATE").alias("BID_PERIOD"), "PAIRING_POSITION", "EQUIPMENT", "BASE"
+    )
+    latest = broadcast_if_small(latest_schedule(schedule, params, backfill), bound_from=versions)
     firsts = stage(pilot_firsts(scan, latest, backfill, params), "pilot-firsts")
     reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
     asn = firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))

@@ -82,5 +82,7 @@ def test_broadcast_only_when_measured_small(spark, history_table):
         assert "BroadcastHashJoin" in plan(small)
         big = join_null_safe(history_table, broadcast_if_small(dim, max_bytes=16), ["CREW_ID"])
         assert "BroadcastHashJoin" not in plan(big)
+        bounded = broadcast_if_small(dim, max_bytes=1 << 20, bound_from=history_table.select("CREW_ID", "BASE"))
+        assert "BroadcastHashJoin" in plan(join_null_safe(history_table, bounded, ["CREW_ID"]))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
