@@ -16,7 +16,7 @@ from ..sinks import tables as sinks
 from ..session import scratch_path
 from ..sources import fixtures, history
 from . import fa, pilot, reconcile as rc, utilization
-from .common import FILL_COLS, STAMP, silver, with_stamp
+from .common import STAMP, silver, with_stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 
