@@ -179,8 +179,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("latest_ties")
     def _(t):
-        s = pilot.schedule_versions(t.sched, p, backfill=False).withColumn(STAMP, F.concat(
-            F.col("UPDATE_DATE").cast("string"), F.lit(" "), F.col("UPDATE_TIME")))
+        s = with_stamp(pilot.schedule_versions(t.sched, p, backfill=False))
         return dedup.latest_with_ties(s, pilot.VERSION_KEYS, STAMP)
 
     @reg("equipment_date_rule")
