@@ -172,10 +172,6 @@ def fa_cutoff(p: P.RunParams, backfill: bool) -> str:
     return q(month.strftime("%Y-%m") + f"-{p.incremental_cutoff_day:02d} 00:00:00")
 
 
-def bp(backfill: bool) -> str:
-    return "BID_PERIOD, " if backfill else ""
-
-
 def fa_reserve(s: Sql, p: P.RunParams, backfill: bool) -> str:
     scan = fa_scan(s, p, backfill)
     tag = "bf" if backfill else "inc"
