@@ -207,7 +207,7 @@ def reconcile(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Reconciled
     """One scan and one shuffle of the log (the day summary, staged); every
     later step reads the staged summary."""
     rows = explore_rows(history, params)
-    summary = stage(day_summary(rows))
+    summary = stage(day_summary(rows), "day-summary")
     available = available_reserve(summary)
     paid = paid_assignments(summary)
     expanded = assignment_expanded(paid)  # one plan for both uses
