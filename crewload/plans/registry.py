@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,19 @@ from .common import STAMP, silver, with_stamp
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_VIEWS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived view as a lazy DataFrame, planned once per session and
+    directory (file listing and footer reads are not repeated per query)."""
+    views = _VIEWS.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), name)
+    if key not in views:
+        views[key] = build(spark, sf_dir)
+    return views[key]
+
+
 class Tables:
     """The two crew tables of one scale factor (built on first use)."""
 
@@ -30,11 +44,11 @@ class Tables:
 
     @cached_property
     def txn(self) -> DataFrame:
-        return fixtures.txn(self.spark, self.sf_dir)
+        return _view(self.spark, self.sf_dir, "txn", fixtures.txn)
 
     @cached_property
     def sched(self) -> DataFrame:
-        return fixtures.sched(self.spark, self.sf_dir)
+        return _view(self.spark, self.sf_dir, "sched", fixtures.sched)
 
 
 def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
