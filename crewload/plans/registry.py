@@ -142,6 +142,16 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return rc.utilization_hnl(t.txn, p)
 
+    # --- evident-intent options (C items) -----------------------------------
+
+    @reg("fa_incremental_asn_rows_only")
+    def _(t):
+        return fa.fa_silver(t.txn, p.with_(asn_rows_only=True), backfill=False)
+
+    @reg("pilot_backfill_arc_folded")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, p.with_(fold_arc_in_backfill=True), backfill=True)
+
     # --- sources and parameters -------------------------------------------
 
     @reg("scan_window")

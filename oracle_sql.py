@@ -607,6 +607,11 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("reserve_minus_carried", lambda s: f"SELECT {SILVER} FROM {j7(s, p)}")
     reg("reconciled_days", lambda s: f"SELECT * FROM {m11(s, p)}")
     reg("utilization_hnl", lambda s: f"SELECT * FROM {m1(s, p)}")
+    # evident-intent options
+    p_asn = p.with_(asn_rows_only=True)
+    reg("fa_incremental_asn_rows_only", lambda s: f"SELECT * FROM {fa_silver(s, p_asn, False)}")
+    p_arc = p.with_(fold_arc_in_backfill=True)
+    reg("pilot_backfill_arc_folded", lambda s: f"SELECT * FROM {pilot_silver(s, p_arc, True)}")
     # sources and parameters
     lo_fa, hi_fa = p.bounds(p.fa_window)
     reg("scan_window", lambda s: f"SELECT * FROM {window(s, 'fa_win', lo_fa, hi_fa)}")
