@@ -152,6 +152,10 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return pilot.pilot_silver(t.txn, t.sched, p.with_(fold_arc_in_backfill=True), backfill=True)
 
+    @reg("pilot_incremental_cutoff")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, p.with_(pilot_cutoff_day=21), backfill=False)
+
     # --- sources and parameters -------------------------------------------
 
     @reg("scan_window")

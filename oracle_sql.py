@@ -301,9 +301,12 @@ def pilot_rows(s: Sql, p: P.RunParams, backfill: bool, kind: str) -> str:
     tag = "bf" if backfill else "inc"
     codes = P.PILOT_RESERVE_CODES if kind == "rsv" else (P.ASSIGNMENT_CODE,)
     keys = [*(["BID_PERIOD"] if backfill else []), "CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"]
+    cut = ""
+    if kind == "rsv" and not backfill and p.pilot_cutoff_day is not None:
+        cut = f" AND update_dt < {fa_cutoff(p.with_(incremental_cutoff_day=p.pilot_cutoff_day), False)}"
     return s.add(
         f"pilot_{kind}_rows_{tag}",
-        f"SELECT * FROM {scan} WHERE CREW_INDICATOR = 'P' AND TRANSACTION_CODE IN {inlist(codes)}\n" + first_row(keys),
+        f"SELECT * FROM {scan} WHERE CREW_INDICATOR = 'P' AND TRANSACTION_CODE IN {inlist(codes)}{cut}\n" + first_row(keys),
     )
 
 
@@ -612,6 +615,8 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("fa_incremental_asn_rows_only", lambda s: f"SELECT * FROM {fa_silver(s, p_asn, False)}")
     p_arc = p.with_(fold_arc_in_backfill=True)
     reg("pilot_backfill_arc_folded", lambda s: f"SELECT * FROM {pilot_silver(s, p_arc, True)}")
+    p_cut = p.with_(pilot_cutoff_day=21)
+    reg("pilot_incremental_cutoff", lambda s: f"SELECT * FROM {pilot_silver(s, p_cut, False)}")
     # sources and parameters
     lo_fa, hi_fa = p.bounds(p.fa_window)
     reg("scan_window", lambda s: f"SELECT * FROM {window(s, 'fa_win', lo_fa, hi_fa)}")
