@@ -205,12 +205,14 @@ class Reconciled:
 
 def reconcile(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Reconciled:
     """One scan and one shuffle of the log (the day summary, staged); every
-    later step reads the staged summary."""
+    later step reads the staged summary. The trip expansion feeds two
+    branches with different columns, so it is staged too rather than
+    shuffled twice."""
     rows = explore_rows(history, params)
     summary = stage(day_summary(rows), "day-summary")
     available = available_reserve(summary)
     paid = paid_assignments(summary)
-    expanded = assignment_expanded(paid)  # one plan for both uses
+    expanded = stage(assignment_expanded(paid), "trip-days")  # computed once for both uses
     return Reconciled(rows, summary, available, paid, assignment_days(paid, expanded), carried(paid, summary, expanded))
 
 
