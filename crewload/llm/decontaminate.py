@@ -15,14 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import measured_bytes
+from ..operators.joins import broadcast_if_small
 from ..session import stage
 
 WINDOW = 8  # a power of two: window hashes are built by doubling
 MIN_LITERAL = 4  # literal words a window needs to be evidence
 COVERAGE = 0.5  # share of an item's template tokens found in the document
 CONSISTENT = 0.8  # share of slot places that follow one mapping of values
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 32 << 20  # measured; beyond it, a shuffle join
 
 # --- fixed values: unit words that are no common words -------------------------
 UNITS = (
@@ -111,12 +111,11 @@ def contaminated_pairs(
     items = items.groupBy("item_id").agg(F.min("text").alias("text")).withColumn("raw", F.expr(RAW))
     items = stage(items.select("item_id", "raw", F.expr(_let("raw", "r", _template("r"))).alias("template")), "items")
     keys = stage(_benchmark_windows(items, window, min_literal), "windows")
-    small = measured_bytes(keys) * 2 <= BROADCAST_BYTES  # beyond it, a shuffle join
-    keys_ = F.broadcast(keys) if small else keys
+    keys = broadcast_if_small(keys, BROADCAST_BYTES)
 
     flat = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     hashes = _let(RAW, "r", _let(_template("r"), "t", _hashes("t", window)))
-    found = flat.select("doc_id", F.posexplode(F.expr(hashes)).alias("pos", "h")).join(keys_, "h")
+    found = flat.select("doc_id", F.posexplode(F.expr(hashes)).alias("pos", "h")).join(keys, "h")
     hits = stage(found.select("doc_id", "item_id", "pos", "at").distinct(), "hits")
 
     # tokens of the item that the windows found cover
@@ -128,7 +127,7 @@ def contaminated_pairs(
     pairs = pairs.withColumn("coverage", F.col("n_covered") / F.col("n_tokens"))
 
     # slot places of the aligned windows, by diagonal
-    ids = hits.select("doc_id").distinct()
+    ids = broadcast_if_small(stage(hits.select("doc_id").distinct(), "ids"), BROADCAST_BYTES)
     texts = flat.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = texts.select("doc_id", F.expr(RAW).alias("doc_raw"))
     sides = hits.join(texts, "doc_id").join(items, "item_id")
@@ -165,5 +164,5 @@ def contaminated_pairs(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     bad = contaminated_pairs(docs, benchmark, **options).where("contaminated").select("doc_id").distinct()
-    bad = stage(bad, "contaminated")
+    bad = broadcast_if_small(stage(bad, "contaminated"), BROADCAST_BYTES)
     return docs.join(bad, docs["doc_id"].cast("long") == bad["doc_id"], "left_anti")
