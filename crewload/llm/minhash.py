@@ -13,9 +13,11 @@ probability (1 - 0.85^5)^26 = 2.4e-7 (at 0.9: 2e-10).
 
 Skew: texts with equal shingle sets are one class from the start (a map-side
 combined ``min``), only class representatives enter buckets, and a bucket is
-compared against a few hubs per round instead of pairwise. A bucket leaves
-the loop once all its members are in one component or have been compared, so
-no link between different texts is lost and no bucket is capped.
+compared against a few hubs per round instead of pairwise. Shingles that no
+other candidate holds bound every intersection from above, which takes far
+members out of a bucket before any comparison. A bucket leaves the loop once
+all its members are in one component or have been compared, so no link
+between different texts is lost and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -27,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from ..session import stage
 from .words import NON_SPACE, U64, blocks, mix64, windows, words
 
 SHINGLE, BANDS, ROWS, PERCENT = 5, 26, 5, 85
-HUBS = 16  # members per bucket and round that are compared with the whole bucket
+HUBS = 64  # members per bucket and round that are compared with the whole bucket
+BROADCAST_BYTES = 32 << 20  # measured; beyond it, a shuffle join
 _CHUNK = 1 << 15
 
 
@@ -151,6 +155,30 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def _common(sets: DataFrame) -> DataFrame:
+    """(rep, size, common): a set's size and how many of its shingles are in
+    another candidate's set too. No intersection can be larger."""
+    size = sets.select("rep", F.size("shingles").cast("long").alias("size"))
+    own = sets.select("rep", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"))
+    own = own.where("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    out = size.join(own, "rep", "left").withColumn("common", F.col("size") - F.coalesce("own", F.lit(0)))
+    return out.groupBy("rep").agg(F.min("size").alias("size"), F.max("common").alias("common"))
+
+
+def _reachable(members: DataFrame, percent: int) -> DataFrame:
+    """Bucket members (key, rep, size, common, comp, main) that may still gain
+    a link inside their bucket. A set whose common shingles are too few for a
+    link even with the bucket's smallest set leaves; so does a bucket whose
+    members are all in one component. ``main`` is its largest component."""
+    least = members.groupBy("key").agg(F.min("size").alias("least"))
+    near = members.join(least, "key").where(
+        (F.col("common") * 100 >= percent * F.col("size")) & ((100 + percent) * F.col("common") >= percent * (F.col("size") + F.col("least")))
+    )
+    size = near.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    several = size.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return near.join(several.select("key", F.col("top.comp").alias("main")), "key").select("key", "rep", "size", "common", "comp", "main")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
@@ -186,55 +214,42 @@ def near_duplicates(
     )
     classes = stage(classes, "classes")
     rows_ = classes.select("rep", F.explode("bands").alias("key"))
-    shared = rows_.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("hub")).where("m > 1")
+    shared = rows_.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = stage(rows_.join(shared.select("key"), "key"), "members")
-    wanted = members.select("rep").distinct()
+    wanted = broadcast_if_small(stage(members.select("rep").distinct(), "wanted"), BROADCAST_BYTES)
     texts = flat.join(wanted, flat.doc_id == wanted.rep, "left_semi")
     sets = stage(texts.mapInArrow(_sets(n), "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
+    members = stage(members.join(_common(sets), "rep"), "members")
 
-    members = members.withColumn("comp", F.col("rep"))
-    hubs = members.groupBy("key").agg(F.min("rep").alias("rep")).withColumn("hub", F.col("rep"))
-    links, done, label = [], [], None
-    while True:
-        tried = hubs.select("key", "hub", F.col("rep").alias("hub_rep")).join(
-            members.select("key", "rep", "comp"), "key"
-        )
-        if label is not None:
-            hub_comp = members.select("key", F.col("rep").alias("hub_rep"), F.col("comp").alias("hub_comp"))
-            tried = tried.join(hub_comp, ["key", "hub_rep"]).where("hub_comp <> comp")
-        pairs = (
-            tried.where("hub_rep <> rep")
-            .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
-            .distinct()
-        )
+    open_ = _reachable(members.withColumn("comp", F.col("rep")), percent)
+    members = stage(open_, "open")
+    done, label = [], None
+    while not members.isEmpty():
+        # hubs: outside their bucket's largest component, those with the fewest shingles of their own first
+        rank = F.row_number().over(Window.partitionBy("key").orderBy((F.col("common") / F.col("size")).desc(), "rep"))
+        hubs = members.where("comp <> main" if done else "true").withColumn("nth", rank).where(F.col("nth") <= (HUBS if done else 1))
+        hubs = stage(hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("rep", "size", "common", "comp")]), "hubs")
+        bound = (100 + percent) * F.least("common", "hub_common") >= percent * (F.col("size") + F.col("hub_size"))
+        tried = hubs.join(members, "key").where((F.col("hub_comp") != F.col("comp")) & bound)
+        pairs = tried.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b")).distinct()
         if done:
             pairs = pairs.join(reduce(DataFrame.union, done), ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        found = stage(_verified(pairs, sets, percent), "links")
         done.append(pairs)
-        links.append(found)
-        label = components(reduce(DataFrame.union, links))
-        # compared hubs leave; a bucket of one component, or of one member, is finished
-        left = (
-            members.select("key", "rep")
-            .join(hubs.select("key", "rep"), ["key", "rep"], "left_anti")
-            .join(label.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("comp", F.coalesce("comp", "rep"))
-        )
-        size = left.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
-        open_ = size.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        members = stage(left.join(open_.select("key", F.col("top.comp").alias("main")), "key"), "members")
-        if members.isEmpty():
-            break
-        # next hubs: members outside their bucket's largest component
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
-        hubs = stage(
-            members.where("comp <> main").withColumn("nth", rank).where(F.col("nth") <= HUBS)
-            .select("key", "rep", F.col("rep").alias("hub")),
-            "hubs",
-        )
+        found = _verified(pairs, sets, percent)
+        if label is not None:
+            found = found.union(label.where("node <> comp").select("node", "comp"))
+        label = components(found)
+        # compared hubs leave their buckets
+        left = members.join(hubs.select("key", F.col("hub_rep").alias("rep")), ["key", "rep"], "left_anti").drop("comp", "main")
+        left = left.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        members = stage(_reachable(left, percent), "open")
 
-    reps = classes.select("fp1", "fp2", "n_shingles", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left")
+    reps = classes.select("fp1", "fp2", "n_shingles", "rep")
+    if label is None:
+        reps = reps.withColumn("comp", F.col("rep"))
+    else:
+        reps = reps.join(label.withColumnRenamed("node", "rep"), "rep", "left")
     reps = reps.select("fp1", "fp2", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))
     linked = full.select("doc_id", "fp1", "fp2", "n_shingles").join(reps, ["fp1", "fp2", "n_shingles"])
     alone = sketch.where("n_shingles = 0 or doc_id is null").select(
