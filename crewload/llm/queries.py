@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, quality, secrets
+from . import chat, decontaminate, extract, licenses, minhash, packing, perplexity, quality, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_block_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -26,11 +30,26 @@ def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_paths(chat.reply_chains(rows)))
+
+
+def op6_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
     base = ", ".join(f"'{k}'" for k in secrets.BASE_KINDS)
@@ -49,5 +68,15 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_best_two_fit, op3_template_decontamination, op7_pu_quality, op9_secret_scan, op10_circulant_minhash)
+    for f in (
+        op1_block_lstm,
+        op2_best_two_fit,
+        op3_template_decontamination,
+        op5_reply_trees,
+        op6_perplexity_bands,
+        op7_pu_quality,
+        op8_license_index,
+        op9_secret_scan,
+        op10_circulant_minhash,
+    )
 }
