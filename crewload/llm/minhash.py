@@ -166,7 +166,7 @@ def _common(sets: DataFrame) -> DataFrame:
 
 
 def _reachable(members: DataFrame, percent: int) -> DataFrame:
-    """Bucket members (key, rep, size, common, comp, main) that may still gain
+    """Bucket members (key, rep, size, common, bands, comp, main) that may still gain
     a link inside their bucket. A set whose common shingles are too few for a
     link even with the bucket's smallest set leaves; so does a bucket whose
     members are all in one component. ``main`` is its largest component."""
@@ -176,7 +176,9 @@ def _reachable(members: DataFrame, percent: int) -> DataFrame:
     )
     size = near.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
     several = size.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    return near.join(several.select("key", F.col("top.comp").alias("main")), "key").select("key", "rep", "size", "common", "comp", "main")
+    return near.join(several.select("key", F.col("top.comp").alias("main")), "key").select(
+        "key", "rep", "size", "common", "bands", "comp", "main"
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -219,7 +221,8 @@ def near_duplicates(
     wanted = broadcast_if_small(stage(members.select("rep").distinct(), "wanted"), BROADCAST_BYTES)
     texts = flat.join(wanted, flat.doc_id == wanted.rep, "left_semi")
     sets = stage(texts.mapInArrow(_sets(n), "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
-    members = stage(members.join(_common(sets), "rep"), "members")
+    members = members.join(_common(sets), "rep").join(classes.select("rep", "bands"), "rep")
+    members = stage(members, "members")
 
     open_ = _reachable(members.withColumn("comp", F.col("rep")), percent)
     members = stage(open_, "open")
@@ -228,9 +231,10 @@ def near_duplicates(
         # hubs: outside their bucket's largest component, those with the fewest shingles of their own first
         rank = F.row_number().over(Window.partitionBy("key").orderBy((F.col("common") / F.col("size")).desc(), "rep"))
         hubs = members.where("comp <> main" if done else "true").withColumn("nth", rank).where(F.col("nth") <= (HUBS if done else 1))
-        hubs = stage(hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("rep", "size", "common", "comp")]), "hubs")
+        hubs = stage(hubs.select("key", *[F.col(c).alias(f"hub_{c}") for c in ("rep", "size", "common", "comp", "bands")]), "hubs")
         bound = (100 + percent) * F.least("common", "hub_common") >= percent * (F.col("size") + F.col("hub_size"))
-        tried = hubs.join(members, "key").where((F.col("hub_comp") != F.col("comp")) & bound)
+        once = F.expr("element_at(array_intersect(hub_bands, bands), 1) = key")  # a pair's first shared bucket
+        tried = hubs.join(members, "key").where((F.col("hub_comp") != F.col("comp")) & bound & (F.col("hub_rep") != F.col("rep")) & once)
         pairs = tried.select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b")).distinct()
         if done:
             pairs = pairs.join(reduce(DataFrame.union, done), ["a", "b"], "left_anti")
