@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, licenses, minhash, packing, perplexity, quality, secrets
+from . import chat, decontaminate, extract, licenses, minhash, ngram_trie, packing, perplexity, quality, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -72,6 +76,7 @@ QUERIES = {
         op1_block_lstm,
         op2_best_two_fit,
         op3_template_decontamination,
+        op4_ngram_trie,
         op5_reply_trees,
         op6_perplexity_bands,
         op7_pu_quality,
