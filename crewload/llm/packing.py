@@ -25,7 +25,8 @@ from .words import blocks, hash_spans, ragged
 
 MAX_TOKENS = 2048
 GROUP_ROWS = 8192  # rows of one ranking group, about
-CACHE = 2_000_000  # distinct chunks whose ids a Python worker remembers
+CACHE = 1_000_000  # distinct chunks whose ids a Python worker remembers
+CHUNK_BYTES = 2 << 20  # text bytes tokenised at a time
 
 #: First bytes of characters that are no white space (one- and two-byte ones).
 _SOLID = np.zeros(256, bool)
@@ -99,7 +100,7 @@ def _chunk_cache(path: str) -> _Chunks:
 def _pieces(path: str, max_tokens: int):
     def run(batches):
         chunks = _chunk_cache(path)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", CHUNK_BYTES):
             ids, count = chunks.ids_of(block.data, block.offs)
             ids = np.insert(ids, np.cumsum(count), 0)  # id 0 ends every document
             total = count + 1

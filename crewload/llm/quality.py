@@ -33,7 +33,7 @@ HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 60, 512, 0.01, 1e-4, 7
 #: Byte classes whose share of a text is a feature.
 _CLASSES = [range(0x61, 0x7B), range(0x41, 0x5B), range(0x30, 0x3A), range(0x80, 0x100), [0x20], [0x0A], [0x09, 0x0D]]
 _CLASSES += [[b] for b in range(0x21, 0x7F) if not chr(b).isalnum()]
-_CLASS = np.full(256, len(_CLASSES), np.int64)
+_CLASS = np.full(256, len(_CLASSES), np.int32)
 for _i, _c in enumerate(_CLASSES):
     _CLASS[list(_c)] = _i
 N_BYTE = len(_CLASSES) + 1
@@ -45,7 +45,7 @@ def features(block: Block) -> np.ndarray:
     byte class, and shape figures of words and lines."""
     n = len(block)
     size = np.diff(block.offs)
-    doc = np.repeat(np.arange(n), size)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size)
     kind = _CLASS[block.data]
     share = np.bincount(doc * N_BYTE + kind, minlength=n * N_BYTE).reshape(n, N_BYTE)
     share = share / np.maximum(size, 1)[:, None]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 U64 = np.uint64
 
 #: Bytes that are no white space of ``[\x20\x09-\x0D]``.
