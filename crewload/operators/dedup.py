@@ -33,13 +33,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], stamp: str, tiebreak: str
 
 def latest_with_ties(df: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
     """F10 alone: every row whose stamp equals its group's maximum (ties
-    kept). The maximum is a partial aggregate joined back on the keys, so a
+    kept; a group whose stamps are all NULL is kept whole). The maximum is a partial aggregate joined back on the keys, so a
     hot group is never sorted in one task."""
     from .joins import join_null_safe
 
     top = df.groupBy(*keys).agg(F.max(stamp).alias("__top"))
     joined = join_null_safe(df, top, keys, "inner")
-    return joined.where(F.col(stamp) == F.col("__top")).drop("__top")
+    return joined.where(F.col(stamp).eqNullSafe(F.col("__top"))).drop("__top")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.dates import backfill_cutoff, incremental_cutoff
 from ..functions.predicates import not_equal_drop_null, not_in_keep_null
 from ..operators import dedup, expand, groups, joins, reshape
 from ..sinks import tables as sinks
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources import fixtures, history
 from . import fa, pilot, reconcile as rc, utilization
 from .common import STAMP, silver, with_stamp
@@ -298,9 +298,8 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     @reg("append_batch")
     def _(t):
         table = reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True))
-        batch = pilot.pilot_silver(t.txn, t.sched, p, False)
-        lo, _hi = p.bounds(p.pilot_window)
-        return sinks.guarded_rows(batch, table, (lo, p.incremental_cap))
+        batch = stage(pilot.pilot_silver(t.txn, t.sched, p, False), "batch")
+        return sinks.guarded_rows(batch, table, sinks.batch_day_range(batch))
 
     @reg("overwrite_roundtrip")
     def _(t):

@@ -42,7 +42,9 @@ def utilization_fa(fa_silver: DataFrame) -> DataFrame:
 
 
 def utilization_pilot(pilot_silver: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFrame:
-    """M3: per day, base, seat and equipment; SCR is the reserve count."""
+    """M3: per day, base, seat and equipment; SCR is the reserve count.
+    ARC counts as SCR here, as the report follows the code fold."""
+    pilot_silver = pilot_silver.withColumn("TRANSACTION_CODE", fold_code("TRANSACTION_CODE", *P.FOLDED_PILOT_CODE))
     keys = ["BASE", "PAIRING_DATE", "PAIRING_POSITION", "EQUIPMENT"]
     wide = pivot_codes(pilot_silver, keys, ["SCR", P.ASSIGNMENT_CODE]).withColumnRenamed("SCR", "RLV_SCR")
     wide = wide.where(flag_rule_keep("PAIRING_DATE", "EQUIPMENT", params.flag_date, P.FLAGGED_EQUIPMENT))

@@ -56,9 +56,9 @@ def guarded_rows(batch: DataFrame, target: DataFrame, day_range: tuple | None =
     if day_range is not None and "PAIRING_DATE" in target.columns:
         lo, hi = day_range
         if lo is None:
-            target = target.where(F.lit(False))
+            target = target.where(F.col("PAIRING_DATE").isNull())
         else:
-            target = target.where(F.col("PAIRING_DATE").between(F.lit(lo), F.lit(hi)))
+            target = target.where(F.col("PAIRING_DATE").between(F.lit(lo), F.lit(hi)) | F.col("PAIRING_DATE").isNull())
     return append_guard(batch, target)
 
 

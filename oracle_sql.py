@@ -570,7 +570,7 @@ def utilization_pilot(s: Sql, p: P.RunParams, silver: str) -> str:
         "SELECT PAIRING_POSITION, PAIRING_DATE, BASE, EQUIPMENT, ASN, RLV_SCR,"
         " round((ASN / RLV_SCR) * 100, 2) AS PERCENT_UTILIZATION FROM (\n"
         "SELECT BASE, PAIRING_DATE, PAIRING_POSITION, EQUIPMENT, count(*) FILTER (WHERE TRANSACTION_CODE = 'ASN') AS ASN,"
-        " count(*) FILTER (WHERE TRANSACTION_CODE = 'SCR') AS RLV_SCR\n"
+        " count(*) FILTER (WHERE TRANSACTION_CODE IN ('SCR', 'ARC')) AS RLV_SCR\n"
         f"FROM {silver} GROUP BY BASE, PAIRING_DATE, PAIRING_POSITION, EQUIPMENT) g\n"
         f"WHERE RLV_SCR > 0 AND NOT (PAIRING_DATE < {d(p.flag_date)} AND EQUIPMENT = '789')",
     )
