@@ -69,10 +69,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transaction log (CT_MASTER_HISTORY shape) from ``events``."""
+    """Transaction log from ``events``."""
     return _table(spark, sf_dir, "events").selectExpr(*TXN_STAGE).selectExpr(*TXN_FINAL)
 
 
 def sched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crew schedule versions (CT_MASTER_SCHEDULE shape) from ``orders``."""
+    """Crew schedule versions from ``orders``."""
     return _table(spark, sf_dir, "orders").selectExpr(*SCHED_COLS)
