@@ -8,7 +8,9 @@
     python -m crewload explore      --history H --out O [--base HNL]
 
 Sources are any format Spark reads (``--format``, default parquet). The
-session is the cluster's (``spark-submit``) or a local one.
+session is the cluster's (``spark-submit``) or a local one. A backfill reads
+every bid period of the log from ``--first-bid-period`` on, unless
+``--last-bid-period`` ends it.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import json
 from . import params as P
 from .plans import fa, pilot, reconcile
 from .plans.utilization import utilization_live
-from .session import build_session, staging_scope
+from .session import SQL_DEFAULTS, build_session, staging_scope
 from .sinks.tables import append_guarded, append_plain, write_overwrite
 from .sources.history import read_table
 from .streaming.rolling import run_backfill
@@ -36,13 +38,29 @@ def main(argv=None) -> dict:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--run-date", default=dt.date.today().isoformat())
     ap.add_argument("--base", default=P.REPORT_BASE)
+    ap.add_argument("--first-bid-period", default=P.FIRST_BID_PERIOD)
+    ap.add_argument("--last-bid-period", default=P.NO_LAST_BID_PERIOD)
+    ap.add_argument("--asn-rows-only", action="store_true", help="FA increments take the ASN rows of a day, not the whole day")
+    ap.add_argument("--fold-arc-in-backfill", action="store_true", help="the pilot backfill stores ARC as SCR")
+    ap.add_argument("--flag-date-intent", action="store_true", help="the equipment date rule ends with April 2024")
+    ap.add_argument("--pilot-cutoff-day", type=int, help="reserve cutoff day of pilot increments")
     ap.add_argument("--master", default=None, help="local master for runs outside a cluster")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
 
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
-    p = P.RunParams(run_date=dt.date.fromisoformat(a.run_date))
+    for key, value in SQL_DEFAULTS.items():  # a cluster's session does not have them
+        spark.conf.set(key, value)
+    p = P.RunParams(
+        run_date=dt.date.fromisoformat(a.run_date),
+        first_bid_period=a.first_bid_period,
+        last_bid_period=a.last_bid_period,
+        asn_rows_only=a.asn_rows_only,
+        fold_arc_in_backfill=a.fold_arc_in_backfill,
+        flag_date_intent=a.flag_date_intent,
+        pilot_cutoff_day=a.pilot_cutoff_day,
+    )
     hist = read_table(spark, a.history, a.format)
     sched = read_table(spark, a.schedule, a.format) if a.schedule else None
     result: dict = {"command": a.command, "run_date": a.run_date}

@@ -35,6 +35,7 @@ FLAG_DATE_LITERAL = dt.date(1970, 1, 1) + dt.timedelta(days=2024 - 4 - 31)
 FLAG_DATE_INTENT = dt.date(2024, 5, 1)
 FIRST_BID_PERIOD = "2023-01"
 LAST_BID_PERIOD = "2024-10"
+NO_LAST_BID_PERIOD = "9999-12"  # after every period
 INCREMENTAL_CUTOFF_DAY = 25
 BACKFILL_CUTOFF_DAY = 24
 # ---------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from .. import params as P
 from ..functions.dates import backfill_cutoff, incremental_cutoff
 from ..functions.predicates import not_equal_drop_null, not_in_keep_null
 from ..operators import dedup, expand, groups, joins, reshape
+from ..schema import SILVER
 from ..sinks import tables as sinks
 from ..session import scratch_path, stage
 from ..sources import fixtures, history
@@ -291,7 +292,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("align_columns")
     def _(t):
-        return joins.align_columns(recon(t).paid, fa.fa_silver(t.txn, p, True))[0]
+        return joins.align_columns(recon(t).paid, t.spark.createDataFrame([], SILVER))[0]
 
     # --- table lifecycle -------------------------------------------------------
 
@@ -299,7 +300,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         table = reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True))
         batch = stage(pilot.pilot_silver(t.txn, t.sched, p, False), "batch")
-        return sinks.guarded_rows(batch, table, sinks.batch_day_range(batch))
+        return sinks.guarded_rows(batch, table, sinks.batch_ranges(batch))
 
     @reg("overwrite_roundtrip")
     def _(t):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -59,8 +60,9 @@ def build_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``
-    as the session sees it); create a private one only when the session has
-    none (tests, local runs)."""
+    as the session sees it); create a private one only when a local session
+    has none (tests, local runs). A cluster session without one is refused:
+    a folder of one machine is not seen by the executors."""
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session has no SparkContext
@@ -69,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and (sc is None or not sc.master.startswith("local")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = conf or tempfile.mkdtemp(prefix="crewload-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(path)
@@ -82,7 +86,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/crewload/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SCOPES: list[list[str]] = []
+#: Open staging scopes of this thread (or task), innermost last.
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("crewload_scopes", default=())
 
 
 @contextlib.contextmanager
@@ -93,11 +98,11 @@ def staging_scope(spark: SparkSession):
     DataFrames returned out of the block must not read staged tables.
     """
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield paths
     finally:
-        _SCOPES.pop()
+        _SCOPES.reset(token)
         for p in paths:
             delete_path(spark, p)
 
@@ -121,6 +126,6 @@ def stage(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
-    return spark.read.parquet(path)
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,16 +2,14 @@
 
 The table is Parquet partitioned by ``BID_PERIOD``. An append first stages
 the batch as a table in the cluster's shared checkpoint folder (computed
-once, lineage cut), takes its day range from that copy, and anti-joins it
-against the target pruned to that range. The target's file list is fixed
+once, lineage cut), takes its day and bid period ranges from that copy, and
+anti-joins it against the target pruned to those ranges. The target's file list is fixed
 when it is read, so files added by the append itself are never compared,
 and a retried task recomputes from the staged copy.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,22 +41,23 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path).select(*SILVER_COLUMNS)
 
 
-def batch_day_range(batch: DataFrame) -> tuple[dt.date | None, dt.date | None]:
-    """Two scalars (one tiny aggregate), used to prune the target scan."""
-    r = batch.agg(F.min("PAIRING_DATE").alias("lo"), F.max("PAIRING_DATE").alias("hi")).first()
-    return r["lo"], r["hi"]
+def batch_ranges(batch: DataFrame) -> dict[str, tuple]:
+    """Smallest and largest day and bid period (one tiny aggregate), used to
+    prune the target scan."""
+    pruned = [c for c in ("PAIRING_DATE", PARTITION) if c in batch.columns]
+    r = batch.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in pruned for f in (F.min, F.max))).first()
+    return {c: (r[f"min_{c}"], r[f"max_{c}"]) for c in pruned}
 
 
-def guarded_rows(batch: DataFrame, target: DataFrame, day_range: tuple | None = None) -> DataFrame:
+def guarded_rows(batch: DataFrame, target: DataFrame, ranges: dict[str, tuple] | None = None) -> DataFrame:
     """M8 core: batch rows not already in the target (all common columns,
-    NULL = NULL). The target is pruned to the batch's day range first, which
-    is safe because PAIRING_DATE is one of the compared columns."""
-    if day_range is not None and "PAIRING_DATE" in target.columns:
-        lo, hi = day_range
-        if lo is None:
-            target = target.where(F.col("PAIRING_DATE").isNull())
-        else:
-            target = target.where(F.col("PAIRING_DATE").between(F.lit(lo), F.lit(hi)) | F.col("PAIRING_DATE").isNull())
+    NULL = NULL). The target is pruned to the batch's measured ranges first,
+    NULLs kept: safe because the ranged columns are among the compared ones.
+    The bid period range opens only the partitions of those periods."""
+    for name, (lo, hi) in (ranges or {}).items():
+        if name in target.columns:
+            inside = F.col(name).isNull()
+            target = target.where(inside if lo is None else inside | F.col(name).between(F.lit(lo), F.lit(hi)))
     return append_guard(batch, target)
 
 
@@ -71,7 +70,7 @@ def append_guarded(spark: SparkSession, batch: DataFrame, path: str, partition_b
     """
     staged = stage(batch, "append-batch")
     target = read_silver(spark, path)
-    rows = stage(guarded_rows(staged, target, batch_day_range(staged)), "append-rows")
+    rows = stage(guarded_rows(staged, target, batch_ranges(staged)), "append-rows")
     n = rows.count()
     if n:
         _writer(rows, "append", partition_by).parquet(path)

@@ -46,7 +46,7 @@ def run_incremental(
 def refresh_on_arrival(
     spark: SparkSession,
     history_path: str,
-    schedule: DataFrame,
+    schedule: DataFrame | Callable[[], DataFrame],
     table_path: str,
     checkpoint_location: str,
     params_for_run: Callable[[], P.RunParams] = lambda: P.RunParams(run_date=dt.date.today()),
@@ -56,7 +56,9 @@ def refresh_on_arrival(
 
     The stream reads only file arrivals (its own progress is kept in
     ``checkpoint_location``, a shared folder); each micro-batch re-reads the
-    history table and runs one rolling refresh.
+    history table and runs one rolling refresh. A DataFrame keeps the file
+    list it was made with: pass ``schedule`` as a function that reads the
+    table to see versions that arrive during the stream.
     """
     static = spark.read.parquet(history_path)
     arrivals = spark.readStream.schema(static.schema).parquet(history_path)
@@ -64,7 +66,8 @@ def refresh_on_arrival(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_incremental(spark, spark.read.parquet(history_path), schedule, table_path, params_for_run())
+        versions = schedule() if callable(schedule) else schedule
+        run_incremental(spark, spark.read.parquet(history_path), versions, table_path, params_for_run())
 
     writer = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
