@@ -29,17 +29,9 @@ def update_stamp(date_col="UPDATE_DATE", time_col="UPDATE_TIME") -> Column:
     return F.concat(_col(date_col).cast("string"), F.lit(" "), _col(time_col).cast("string"))
 
 
-def stamp_order(stamp="update_dt", seq="TXN_SEQ", descending: bool = False) -> list[Column]:
-    """Sort order for "first" (earliest, NULL last) or "latest" (NULL loses)."""
-    s, q = _col(stamp), _col(seq)
-    if descending:
-        return [s.desc_nulls_last(), q.desc()]
-    return [s.asc_nulls_last(), q.asc()]
-
-
-def bid_period_of(date_col) -> Column:
-    """P4: 'yyyy-MM' of a date."""
-    return F.date_format(_col(date_col), "yyyy-MM")
+def stamp_order(stamp="update_dt", seq="TXN_SEQ") -> list[Column]:
+    """Sort order for "first": earliest, NULL last, then the sequence."""
+    return [_col(stamp).asc_nulls_last(), _col(seq).asc()]
 
 
 def incremental_cutoff(run_date, lead_days: int = 7, day: int = 25) -> Column:

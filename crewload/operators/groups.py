@@ -4,9 +4,10 @@ The source sorts each (crew, day) group by update stamp and compares row
 numbers ("a release code after the last reserve code"). Such a test only
 needs, per group, the sort key of the last row of each code set: "some row
 of set B comes after the last row of set A" is "last(B) > last(A)". So the
-flags are plain aggregates (``max`` of a struct sort key) with partial
-aggregation before the shuffle, and the rows meet their flags through a
-null-safe semi or anti join, which AQE can split when one group is hot.
+flags are plain aggregates (``max`` of a fixed-width sort key, which hash
+aggregation updates in place) with partial aggregation before the shuffle,
+and the rows meet their flags through a null-safe semi or anti join, which
+AQE can split when one group is hot.
 Nothing gathers a whole group in one task.
 """
 
@@ -21,8 +22,14 @@ from .joins import anti_join, join_null_safe, semi_join
 
 
 def sort_key(stamp: str = "update_dt", seq: str = "TXN_SEQ") -> Column:
-    """Ascending row order as one comparable value: stamp (NULL last), seq."""
-    return F.struct(F.col(stamp).isNull().alias("n"), F.col(stamp).alias("s"), F.col(seq).alias("q"))
+    """Ascending row order as one decimal: the 14 digits of the stamp (NULL
+    last, as is a stamp not of the form yyyy-MM-dd HH:mm:ss), then the
+    sequence (NULL first)."""
+    return F.expr(
+        rf"""cast(coalesce(CASE WHEN {stamp} RLIKE r'^\d{{4}}-\d\d-\d\d \d\d:\d\d:\d\d$'
+            THEN cast(translate({stamp}, '- :', '') AS decimal(15, 0)) END, 100000000000000BD) * 100000000000000000000BD
+        + coalesce(cast({seq} AS decimal(20, 0)) + 9223372036854775809BD, 0BD) AS decimal(38, 0))"""
+    )
 
 
 def last_key(codes: Sequence[str], code_col: str = "TRANSACTION_CODE", key: Column | None = None) -> Column:

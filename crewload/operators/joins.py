@@ -16,10 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def null_safe_cond(left: DataFrame, right: DataFrame, on: Sequence[str]):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in on])
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``on`` with NULL = NULL; key columns appear once.
 

@@ -70,7 +70,7 @@ class RunParams:
     incremental_cutoff_day: int = INCREMENTAL_CUTOFF_DAY
     backfill_cutoff_day: int = BACKFILL_CUTOFF_DAY
     first_bid_period: str = FIRST_BID_PERIOD
-    last_bid_period: str = LAST_BID_PERIOD
+    last_bid_period: str = NO_LAST_BID_PERIOD
     incremental_cap_days: int = 30  # incremental rows kept up to run+30
     # literal (default) versus evident-intent switches, see README
     asn_rows_only: bool = False  # FA incremental keeps whole ASN groups
@@ -102,4 +102,5 @@ class RunParams:
         return replace(self, **kw)
 
 
-DEFAULT = RunParams()
+#: The registered queries keep the source's own end; a job has none unless told.
+DEFAULT = RunParams(last_bid_period=LAST_BID_PERIOD)

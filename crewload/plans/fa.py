@@ -20,8 +20,6 @@ from ..operators.reshape import union_by_name
 from ..sources.history import scan_bid_periods, scan_window
 from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, keyed, lit_equipment, silver, stage, with_stamp
 
-FA_RESERVE_OUT = ("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE")
-
 
 def fa_scan(history: DataFrame, params: P.RunParams, backfill: bool) -> DataFrame:
     if backfill:
@@ -36,31 +34,6 @@ def fa_cutoff(params: P.RunParams, backfill: bool):
     return incremental_cutoff(F.lit(params.run_date), params.cutoff_lead_days, params.incremental_cutoff_day)
 
 
-def fa_reserve(scan: DataFrame, params: P.RunParams, backfill: bool) -> DataFrame:
-    """Reserve days stamped before the cutoff, first row per crew/day/code."""
-    rows = with_stamp(
-        scan.where((F.col("CREW_INDICATOR") == P.FA) & F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES))
-    ).where(F.col(STAMP) < fa_cutoff(params, backfill))
-    rows = first_per_key(rows, keyed(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"], backfill), first_order())
-    return lit_equipment(rows.select(*FA_RESERVE_OUT, STAMP, SEQ), P.FA_EQUIPMENT)
-
-
-def fa_assignments(scan: DataFrame, params: P.RunParams, backfill: bool) -> DataFrame:
-    """Assignment rows before expansion.
-
-    Backfill: ASN rows, first per crew/day/code. Incremental (literal): every
-    FA row of a crew/day holding an ASN, first per crew/day/code/stamp.
-    """
-    fa = with_stamp(scan.where(F.col("CREW_INDICATOR") == P.FA))
-    if backfill or params.asn_rows_only:
-        rows = fa.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
-    else:
-        rows = group_any(fa, ["CREW_ID", "PAIRING_DATE"], F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
-    keys = ["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"] + ([] if backfill else [STAMP])
-    rows = first_per_key(rows, keyed(keys, backfill), first_order())
-    return rows.select(*ASN_COLS, SEQ)
-
-
 def fa_order():
     return first_order()
 
@@ -94,6 +67,13 @@ def fa_backfill_firsts(scan: DataFrame, params: P.RunParams) -> DataFrame:
     return rows.select(*ASN_COLS, SEQ)
 
 
+def fa_backfill_parts(scan: DataFrame, params: P.RunParams) -> tuple[DataFrame, DataFrame]:
+    """Backfill reserve and assignment rows, from first rows staged once."""
+    firsts = stage(fa_backfill_firsts(scan, params), "fa-bf-firsts")
+    reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES))
+    return lit_equipment(reserve, P.FA_EQUIPMENT), firsts.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
+
+
 def fa_incremental_parts(scan: DataFrame, params: P.RunParams) -> tuple[DataFrame, DataFrame]:
     """Incremental reserve and assignment rows from one pass over the log.
 
@@ -120,12 +100,7 @@ def fa_incremental_parts(scan: DataFrame, params: P.RunParams) -> tuple[DataFram
 def fa_silver(history: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M4 (backfill) / M5 (incremental): union, date cap, RSV counted as RLV."""
     scan = fa_scan(history, params, backfill)
-    if backfill:
-        firsts = stage(fa_backfill_firsts(scan, params), "fa-bf-firsts")
-        reserve = lit_equipment(firsts.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES)), P.FA_EQUIPMENT)
-        asn = firsts.where(F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE)
-    else:
-        reserve, asn = fa_incremental_parts(scan, params)
+    reserve, asn = (fa_backfill_parts if backfill else fa_incremental_parts)(scan, params)
     parts = [silver(reserve), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill))]
     cap = params.run_date if backfill else params.incremental_cap
     out = union_by_name(*parts).where(F.col("PAIRING_DATE") <= F.lit(cap))

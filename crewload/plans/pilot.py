@@ -57,35 +57,6 @@ def _pilot_rows(scan: DataFrame, codes, backfill: bool) -> DataFrame:
     return first_per_key(rows, keyed(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"], backfill), first_order())
 
 
-def pilot_reserve(scan: DataFrame, sched_latest: DataFrame, backfill: bool) -> DataFrame:
-    """Reserve days with their equipment: inner join (incremental) or left
-    join (backfill), captains and first officers only."""
-    rows = _pilot_rows(scan, P.PILOT_RESERVE_CODES, backfill).select(
-        "CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "TO_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE"
-    )
-    rows = rows.where(F.col("PAIRING_POSITION").isin(*P.PILOT_SEATS))
-    joined = join_null_safe(rows, sched_latest, JOIN_KEYS, "left" if backfill else "inner")
-    return joined.drop("TO_DATE")
-
-
-def pilot_assignments(scan: DataFrame, sched_latest: DataFrame, backfill: bool) -> DataFrame:
-    rows = _pilot_rows(scan, (P.ASSIGNMENT_CODE,), backfill).select(
-        "CREW_INDICATOR",
-        "CREW_ID",
-        "TRANSACTION_CODE",
-        "PAIRING_NO",
-        "PAIRING_DATE",
-        "TO_DATE",
-        "PAIRING_POSITION",
-        "BID_PERIOD",
-        "BASE",
-        STAMP,
-        SEQ,
-    )
-    rows = rows.where(F.col("PAIRING_POSITION").isin(*P.PILOT_SEATS))
-    return join_null_safe(rows, sched_latest, JOIN_KEYS, "inner")
-
-
 def pilot_day_keys(backfill: bool):
     return keyed(["CREW_ID", "EQUIPMENT", "TRANSACTION_CODE", DATE], backfill)
 
@@ -136,6 +107,16 @@ def pilot_firsts(
     return joined.withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False)))
 
 
+def pilot_reserve(firsts: DataFrame) -> DataFrame:
+    """Reserve days with their equipment, captains and first officers only."""
+    return firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
+
+
+def pilot_assignments(firsts: DataFrame) -> DataFrame:
+    """ASN rows whose schedule is known."""
+    return firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
+
+
 def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
@@ -146,8 +127,7 @@ def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams =
     )
     latest = broadcast_if_small(latest_schedule(schedule, params, backfill), bound_from=versions)
     firsts = stage(pilot_firsts(scan, latest, backfill, params), "pilot-firsts")
-    reserve = firsts.where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES))
-    asn = firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
+    reserve, asn = pilot_reserve(firsts), pilot_assignments(firsts)
     out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill)))
     if backfill:
         frm = P.FOLDED_PILOT_CODE[0] if params.fold_arc_in_backfill else P.BACKFILL_TYPO_CODE

@@ -9,17 +9,17 @@ Per crew and day the log is read in update order:
 * a day has an overlap when an overlap code follows its last reserve or
   assignment code (W4).
 
-All three, and the first row of each reserve code and of ASN, come from one
-aggregate per (crew, day) over sort keys (see ``operators.groups``): one
-scan and one shuffle of the log, staged, and everything later reads the
-staged summary. Assignment days count only when the crew was on reserve that
+All three come from one hash aggregate per (crew, day) over fixed-width sort
+keys (see ``operators.groups``); the first row of each reserve code and of
+ASN is a top-1 before the shuffle. The two meet in one staged table that all
+later steps read. Assignment days count only when the crew was on reserve that
 day (J5); reserve days after the first day of a multi-day trip are removed
 unless the day has an overlap (X4, J7).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ from .. import params as P
 from ..functions.predicates import not_in_keep_null
 from ..operators.dedup import first_per_key
 from ..operators.expand import DATE, NAME, carried_days, expand_multi, expand_single
-from ..operators.groups import after, group_flags, last_key, last_position, sort_key
-from ..operators.joins import anti_join, semi_join
+from ..operators.groups import after, group_flags, last_key, last_position
+from ..operators.joins import anti_join, join_null_safe, semi_join
 from ..operators.reshape import union_by_name
 from ..sources.history import scan_window
 from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, lit_equipment, silver, stage, with_stamp
@@ -55,20 +55,12 @@ def explore_rows(history: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFra
 PAYLOAD = [*ASN_COLS, SEQ]
 
 
-def _first_of(code: str):
-    """First row (in update order) of one code within the group, as a struct."""
-    row = F.struct(sort_key().alias("k"), F.struct(*PAYLOAD).alias("r"))
-    return F.min(F.when(F.col("TRANSACTION_CODE") == code, row))["r"]
+def day_flags(rows: DataFrame) -> DataFrame:
+    """One row per (crew, day) with the three day flags.
 
-
-def day_summary(rows: DataFrame) -> DataFrame:
-    """One row per (crew, day) with the three day flags and the first row of
-    each reserve code and of ASN.
-
-    A single aggregate (partial per task, then one shuffle on crew and day)
+    A hash aggregate (partial per task, then one shuffle on crew and day)
     replaces the source's per-group sort: the flags compare the sort keys of
-    the last rows of each code set, the first rows are ``min`` of
-    (sort key, row). Everything later reads this summary.
+    the last rows of each code set.
     """
     agg = group_flags(
         rows,
@@ -80,7 +72,6 @@ def day_summary(rows: DataFrame) -> DataFrame:
             "last_overlap": last_key(P.OVERLAP_CODES),
             "last_asn": last_key((P.ASSIGNMENT_CODE,)),
             "last_asn_release": last_key(P.ASSIGNMENT_RELEASE_CODES),
-            **{f"first_{c}": _first_of(c) for c in (*P.FA_RESERVE_CODES, P.ASSIGNMENT_CODE)},
         },
     )
     has_reserve = F.col("last_reserve").isNotNull()
@@ -89,24 +80,31 @@ def day_summary(rows: DataFrame) -> DataFrame:
         (has_reserve & after(F.col("last_release"), F.col("last_reserve"))).alias("released_reserve"),
         (has_reserve & after(F.col("last_overlap"), F.col("last_claim"))).alias("overlap"),
         after(F.col("last_asn_release"), F.col("last_asn")).alias("released_asn"),
-        *[f"first_{c}" for c in (*P.FA_RESERVE_CODES, P.ASSIGNMENT_CODE)],
     )
 
 
-def released_after_reserve(summary: DataFrame) -> DataFrame:
+def day_claims(rows: DataFrame, flags: DataFrame) -> DataFrame:
+    """The first row of each reserve code and of ASN per (crew, day), with
+    the flags of its day (a top-1 per key before the shuffle, as in the
+    silver plans)."""
+    firsts = first_per_key(rows.where(F.col("TRANSACTION_CODE").isin(*CLAIM_CODES)), [*DAY, "TRANSACTION_CODE"], first_order())
+    return join_null_safe(firsts.select(*PAYLOAD), flags, DAY)
+
+
+def released_after_reserve(flags: DataFrame) -> DataFrame:
     """Reserve days given back after their last reserve code."""
-    return summary.where(F.col("released_reserve")).select(*DAY)
+    return flags.where(F.col("released_reserve")).select(*DAY)
 
 
-def overlap_days(summary: DataFrame) -> DataFrame:
+def overlap_days(flags: DataFrame) -> DataFrame:
     """Reserve days with an overlap code after the last claim code."""
-    return summary.where(F.col("overlap")).select(*DAY)
+    return flags.where(F.col("overlap")).select(*DAY)
 
 
-def released_after_asn(summary: DataFrame) -> DataFrame:
+def released_after_asn(flags: DataFrame) -> DataFrame:
     """Days with an assignment release after the last ASN (any release
     when the day has no ASN)."""
-    return summary.where(F.col("released_asn")).select(*DAY)
+    return flags.where(F.col("released_asn")).select(*DAY)
 
 
 def reserve_position(rows: DataFrame) -> DataFrame:
@@ -114,20 +112,18 @@ def reserve_position(rows: DataFrame) -> DataFrame:
     return last_position(rows, DAY, P.FA_RESERVE_CODES, "last_rlv_pos").where(F.col("last_rlv_pos").isNotNull())
 
 
-def available_reserve(summary: DataFrame) -> DataFrame:
+def available_reserve(claims: DataFrame) -> DataFrame:
     """M9: first row per (crew, day, code) of reserve days not given back."""
-    firsts = F.explode(F.array(*[F.col(f"first_{c}") for c in P.FA_RESERVE_CODES])).alias("r")
-    rsv = summary.where(~F.col("released_reserve")).select(firsts).where(F.col("r").isNotNull()).select("r.*")
+    rsv = claims.where(F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES) & ~F.col("released_reserve"))
     return lit_equipment(
         rsv.select("CREW_INDICATOR", "CREW_ID", "TRANSACTION_CODE", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE", STAMP, SEQ),
         P.FA_EQUIPMENT,
     )
 
 
-def paid_assignments(summary: DataFrame) -> DataFrame:
+def paid_assignments(claims: DataFrame) -> DataFrame:
     """First ASN row per (crew, day) of assignments not given back."""
-    asn = summary.where(~F.col("released_asn") & F.col(f"first_{P.ASSIGNMENT_CODE}").isNotNull())
-    return asn.select(f"first_{P.ASSIGNMENT_CODE}.*").select(*PAYLOAD)
+    return claims.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & ~F.col("released_asn")).select(*PAYLOAD)
 
 
 def assignment_single(paid: DataFrame) -> DataFrame:
@@ -142,11 +138,10 @@ def assignment_expanded(paid: DataFrame) -> DataFrame:
     return lit_equipment(out.withColumnRenamed(DATE, "PAIRING_DATE"), P.FA_EQUIPMENT)
 
 
-def assignment_days(paid: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
+def assignment_days(paid: DataFrame, expanded: DataFrame) -> DataFrame:
     """First assignment row per (crew, day): single-day trips before
     multi-day ones, then by pairing number and stamp (one row per trip and
     day, so the order is total)."""
-    expanded = assignment_expanded(paid) if expanded is None else expanded
     single = assignment_single(paid).withColumn("__src", F.lit(0))
     multi = expanded.withColumn("__src", F.lit(1))
     cols = [*P.SILVER_COLUMNS, "PAIRING_NO", STAMP, "__src"]
@@ -166,11 +161,10 @@ def asn_with_reserve(days: DataFrame, available: DataFrame) -> DataFrame:
     return semi_join(days, available.select(*MATCH_COLS), MATCH_COLS)
 
 
-def carried(paid: DataFrame, summary: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
-    """Days after the first of each multi-day trip, except overlap days."""
-    expanded = assignment_expanded(paid) if expanded is None else expanded
-    days = carried_days(expanded)
-    return anti_join(days, overlap_days(summary), DAY)
+def carried(expanded: DataFrame, claims: DataFrame) -> DataFrame:
+    """Days after the first of each multi-day trip, except overlap days
+    (these have a reserve row, so the claims show them all)."""
+    return anti_join(carried_days(expanded), overlap_days(claims), DAY)
 
 
 def reserve_minus_carried(available: DataFrame, carried_rows: DataFrame) -> DataFrame:
@@ -180,14 +174,41 @@ def reserve_minus_carried(available: DataFrame, carried_rows: DataFrame) -> Data
     return first_per_key(kept, ["PAIRING_DATE", "CREW_ID"], first_order())
 
 
-@dataclass
 class Reconciled:
-    rows: DataFrame
-    flags: DataFrame
-    available: DataFrame
-    paid: DataFrame
-    days: DataFrame
-    carried: DataFrame
+    """The steps of the reconciliation, each built when it is asked for. The
+    claims and the expanded trips feed several branches with different
+    columns, so each is staged once instead of being shuffled per branch."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    @cached_property
+    def flags(self) -> DataFrame:
+        return day_flags(self.rows)
+
+    @cached_property
+    def claims(self) -> DataFrame:
+        return stage(day_claims(self.rows, self.flags), "claims")
+
+    @cached_property
+    def expanded(self) -> DataFrame:
+        return stage(assignment_expanded(self.paid), "trip-days")
+
+    @property
+    def available(self) -> DataFrame:
+        return available_reserve(self.claims)
+
+    @property
+    def paid(self) -> DataFrame:
+        return paid_assignments(self.claims)
+
+    @property
+    def days(self) -> DataFrame:
+        return assignment_days(self.paid, self.expanded)
+
+    @property
+    def carried(self) -> DataFrame:
+        return carried(self.expanded, self.claims)
 
     @property
     def reserve(self) -> DataFrame:
@@ -204,16 +225,7 @@ class Reconciled:
 
 
 def reconcile(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Reconciled:
-    """One scan and one shuffle of the log (the day summary, staged); every
-    later step reads the staged summary. The trip expansion feeds two
-    branches with different columns, so it is staged too rather than
-    shuffled twice."""
-    rows = explore_rows(history, params)
-    summary = stage(day_summary(rows), "day-summary")
-    available = available_reserve(summary)
-    paid = paid_assignments(summary)
-    expanded = stage(assignment_expanded(paid), "trip-days")  # computed once for both uses
-    return Reconciled(rows, summary, available, paid, assignment_days(paid, expanded), carried(paid, summary, expanded))
+    return Reconciled(explore_rows(history, params))
 
 
 def reconciled_days(history: DataFrame, params: P.RunParams = P.DEFAULT) -> DataFrame:
@@ -228,7 +240,8 @@ def utilization_hnl(history: DataFrame, params: P.RunParams = P.DEFAULT) -> Data
 __all__ = [
     "NAME",
     "explore_rows",
-    "day_summary",
+    "day_flags",
+    "day_claims",
     "released_after_reserve",
     "overlap_days",
     "released_after_asn",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +22,6 @@ from .common import STAMP, silver, with_stamp
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_VIEWS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def _view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The derived view as a lazy DataFrame, planned once per session and
-    directory (file listing and footer reads are not repeated per query)."""
-    views = _VIEWS.setdefault(spark, {})
-    key = (sf_dir.rstrip("/"), name)
-    if key not in views:
-        views[key] = build(spark, sf_dir)
-    return views[key]
-
-
 class Tables:
     """The two crew tables of one scale factor (built on first use)."""
 
@@ -45,11 +31,11 @@ class Tables:
 
     @cached_property
     def txn(self) -> DataFrame:
-        return _view(self.spark, self.sf_dir, "txn", fixtures.txn)
+        return fixtures.txn(self.spark, self.sf_dir)
 
     @cached_property
     def sched(self) -> DataFrame:
-        return _view(self.spark, self.sf_dir, "sched", fixtures.sched)
+        return fixtures.sched(self.spark, self.sf_dir)
 
 
 def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
@@ -217,15 +203,17 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     # --- joins ---------------------------------------------------------------
 
+    def pilot_firsts(t, backfill):
+        scan = pilot.pilot_scan(t.txn, p, backfill)
+        return pilot.pilot_firsts(scan, pilot.latest_schedule(t.sched, p, backfill), backfill, p)
+
     @reg("schedule_inner")
     def _(t):
-        scan = pilot.pilot_scan(t.txn, p, False)
-        return silver(pilot.pilot_reserve(scan, pilot.latest_schedule(t.sched, p, False), False))
+        return silver(pilot.pilot_reserve(pilot_firsts(t, False)))
 
     @reg("schedule_left")
     def _(t):
-        scan = pilot.pilot_scan(t.txn, p, True)
-        return silver(pilot.pilot_reserve(scan, pilot.latest_schedule(t.sched, p, True), True))
+        return silver(pilot.pilot_reserve(pilot_firsts(t, True)))
 
     @reg("append_guard")
     def _(t):
@@ -235,7 +223,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("first_per_key")
     def _(t):
-        return silver(fa.fa_reserve(fa.fa_scan(t.txn, p, False), p, False))
+        return silver(fa.fa_incremental_parts(fa.fa_scan(t.txn, p, False), p)[0])
 
     @reg("distinct_crew_day")
     def _(t):
@@ -262,7 +250,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     # --- expansion, fill, union, alignment -----------------------------------
 
     def fa_bf_asn(t):
-        return fa.fa_assignments(fa.fa_scan(t.txn, p, True), p, True)
+        return fa.fa_backfill_parts(fa.fa_scan(t.txn, p, True), p)[1]
 
     @reg("expand_single")
     def _(t):
@@ -282,9 +270,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("fill_down")
     def _(t):
-        scan = pilot.pilot_scan(t.txn, p, True)
-        asn = pilot.pilot_assignments(scan, pilot.latest_schedule(t.sched, p, True), True)
-        return silver(pilot.pilot_multi(asn, True))
+        return silver(pilot.pilot_multi(pilot.pilot_assignments(pilot_firsts(t, True)), True))
 
     @reg("union_silver")
     def _(t):

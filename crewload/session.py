@@ -26,19 +26,6 @@ SQL_DEFAULTS = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Partition sizing for a cluster run: enough shuffle partitions that
-    each holds about ``target_partition_bytes`` of the input (AQE merges the
-    small ones), never fewer than two per core; scan splits of the same
-    size."""
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-    }
-
-
 def build_session(
     master: str = "local[8]", shuffle_partitions: int = 8, app: str = "crewload", conf: dict | None = None
 ) -> SparkSession:

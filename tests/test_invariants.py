@@ -37,7 +37,7 @@ def test_reconciled_has_one_row_per_crew_day_and_code(spark, txn):
 
 def test_expansion_count_equals_group_spans(spark, txn):
     p = P.DEFAULT
-    asn = fa.fa_assignments(fa.fa_scan(txn, p, True), p, True)
+    asn = fa.fa_backfill_parts(fa.fa_scan(txn, p, True), p)[1]
     ends = expand.trip_ends(asn, fa.fa_day_keys(True), fa.fa_order())
     spans = ends.groupBy(*fa.fa_pad_keys(True)).agg((F.datediff(F.max("DATE"), F.min("DATE")) + 1).alias("n"))
     expected = spans.agg(F.sum("n")).first()[0]

@@ -55,13 +55,23 @@ def test_backfill_reads_the_log_once(spark, history_table, history_path):
     assert name not in plan(silver)  # every branch reads the staged rows, not the log
 
 
-def test_day_summary_is_partial_aggregate(spark, history_table):
-    summary = rc.day_summary(rc.explore_rows(history_table))
-    s = plan(summary)
-    assert "partial_max" in s and "partial_min" in s
+def test_day_flags_are_one_hash_aggregate(spark, history_table):
+    s = plan(rc.day_flags(rc.explore_rows(history_table)))
+    assert "partial_max" in s and s.count("HashAggregate") == 2
+    assert "SortAggregate" not in s and "Sort [" not in s
     assert s.count("Exchange") == 1
 
 
+def test_single_steps_stage_only_what_they_read(spark):
+    import __spark_entry__ as E
+    from crewload.session import staging_scope
+
+    for name, most in [("last_position", 0), ("overlap_days", 0), ("released_after_asn", 0), ("paid_assignments", 1)]:
+        with staging_scope(spark) as staged:
+            E.queries()[name](spark, SF_SMALL)
+            assert len(staged) == most, name
+
+
 @pytest.mark.parametrize("name", ["fa_backfill", "pilot_backfill", "reconciled_days", "utilization_hnl", "append_batch"])
 def test_no_cartesian_products(spark, name):
     import __spark_entry__ as E

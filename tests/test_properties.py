@@ -64,7 +64,7 @@ def test_day_flags_match_row_number_rules(spark, groups):
     params = P.RunParams(run_date=dt.date(2024, 1, 20))
     got = {
         r["CREW_ID"]: (r["released_reserve"], r["overlap"], r["released_asn"])
-        for r in rc.day_summary(rc.explore_rows(df, params)).collect()
+        for r in rc.day_flags(rc.explore_rows(df, params)).collect()
     }
     assert got == want
 

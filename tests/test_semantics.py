@@ -204,3 +204,19 @@ def test_p5_optional_pilot_cutoff(spark):
     assert days(plain) == [10, 11, 12]
     cut = pilot.pilot_silver(hist, sched, P.DEFAULT.with_(pilot_cutoff_day=21), backfill=False)
     assert days(cut) == [10, 12]  # cutoff 2024-02-21 00:00:00, strict; ASN rows unaffected
+
+
+def test_sort_key_orders_stamps_then_sequence(spark):
+    from pyspark.sql import functions as F
+
+    from crewload.operators.groups import sort_key
+
+    top = 2**63 - 1
+    ascending = [
+        ("0001-01-01 00:00:00", None), ("0001-01-01 00:00:00", -top - 1), ("0001-01-01 00:00:00", top),
+        ("2024-02-29 23:59:59", 1), ("2024-03-01 00:00:00", 0), ("9999-12-31 23:59:59", top), (None, 1), ("8:00", 2), (None, 3),
+    ]
+    rows = [(i, s, q) for i, (s, q) in enumerate(ascending)]
+    df = spark.createDataFrame(rows, "i int, update_dt string, TXN_SEQ long")
+    assert [r.i for r in df.orderBy(sort_key()).collect()] == list(range(len(rows)))
+    assert df.where(sort_key().isNull()).count() == 0

@@ -29,9 +29,10 @@ def plan(df):
 
 
 def test_hot_key_plans_combine_before_shuffle(spark, hot):
-    summary = rc.day_summary(rc.explore_rows(hot))
-    s = plan(summary)
-    assert "partial_max" in s and "partial_min" in s
+    flags = rc.day_flags(rc.explore_rows(hot))
+    s = plan(flags)
+    assert "partial_max" in s and "SortAggregate" not in s
+    assert "WindowGroupLimit" in plan(rc.day_claims(rc.explore_rows(hot), flags))
     firsts = fa.fa_backfill_firsts(fa.fa_scan(hot, P.DEFAULT, True), P.DEFAULT)
     s2 = plan(firsts)
     assert "WindowGroupLimit" in s2 and "Partial" in s2
