@@ -150,3 +150,16 @@ def test_quality_separates_junk(spark):
     got = quality.score_quality(docs, quality.train(docs, labels)).collect()
     assert all(r.predicted == int(r.doc_id < 200) for r in got if r.doc_id != 999)
     assert quality.train(docs_of(spark, []), labels) is None
+
+
+@pytest.mark.parametrize("name", ["op3_template_decontamination", "op5_reply_trees", "op10_circulant_minhash"])
+def test_queries_match_their_sql(spark, name):
+    import os
+    import sys
+
+    from conftest import ROOT, SF_SMALL
+
+    sys.path.insert(0, os.path.join(ROOT, "tools"))
+    from compare import compare
+
+    assert compare(spark, SF_SMALL, [name], verbose=False)[name][0] == "ok"
