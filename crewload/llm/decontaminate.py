@@ -12,7 +12,7 @@ value of the item to one value in the document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_small
@@ -22,6 +22,7 @@ WINDOW = 8  # a power of two: window hashes are built by doubling
 MIN_LITERAL = 4  # literal words a window needs to be evidence
 COVERAGE = 0.5  # share of an item's template tokens found in the document
 CONSISTENT = 0.8  # share of slot places that follow one mapping of values
+DRIFT = 4  # tokens between neighbouring diagonals of one alignment
 BROADCAST_BYTES = 32 << 20  # measured; beyond it, a shuffle join
 
 # --- fixed values: unit words that are no common words -------------------------
@@ -74,13 +75,55 @@ def _hashes(template: str, window: int) -> str:
 
 
 def _benchmark_windows(items: DataFrame, window: int, min_literal: int) -> DataFrame:
-    """(h, item_id, at): the informative windows, each hash once per item."""
+    """(h, item_id, at, first): every place of the informative windows;
+    ``first`` marks the first place of a hash in its item."""
     literal = items.withColumn(
         "plain", F.expr("transform(template, x -> CASE WHEN left(x, 1) = '<' THEN 0 ELSE 1 END)")
     )
     win = literal.select("item_id", "plain", F.posexplode(F.expr(_let("template", "t", _hashes("t", window)))).alias("at", "h"))
     plain = F.expr(f"aggregate(slice(plain, at + 1, {window}), 0, (a, x) -> a + x)")
-    return win.where(plain >= min_literal).groupBy("h", "item_id").agg(F.min("at").alias("at"))
+    first = F.col("at") == F.min("at").over(Window.partitionBy("h", "item_id"))
+    return win.where(plain >= min_literal).select("h", "item_id", "at", first.alias("first"))
+
+
+def _slots(hits: DataFrame, texts: DataFrame, items: DataFrame, by: list[str], window: int) -> DataFrame:
+    """(by, n_slots, n_changed, consistency) of the slot places of the hits."""
+    place = hits.join(texts, "doc_id").join(items, "item_id").select(
+        *by, "pos", "at",
+        F.expr(f"slice(template, at + 1, {window})").alias("kinds"),
+        F.expr(f"slice(raw, at + 1, {window})").alias("old"),
+        F.expr(f"slice(doc_raw, pos + 1, {window})").alias("new"),
+    )
+    place = place.select(*by, "pos", "at", F.posexplode(F.arrays_zip("kinds", "old", "new")).alias("k", "z"))
+    place = place.where("left(z.kinds, 1) = '<'").select(
+        *by, (F.col("at") + F.col("k")).alias("token"), (F.col("pos") + F.col("k")).alias("place"),
+        F.expr("lower(rtrim('.!?\\n', z.old))").alias("old"), F.expr("lower(rtrim('.!?\\n', z.new))").alias("new"),
+    ).distinct()
+    mapping = place.groupBy(*by, "old", "new").agg(F.count(F.lit(1)).alias("n"))
+    forward = mapping.groupBy(*by, "old").agg(
+        F.sum("n").alias("n"), F.sum(F.expr("CASE WHEN old <> new THEN n ELSE 0 END")).alias("changed"),
+        F.max(F.struct("n", "new")).alias("best"),
+    )
+    target = forward.groupBy(*by, F.col("best.new").alias("new")).agg(
+        F.sum("n").alias("n"), F.sum("changed").alias("changed"), F.max("best.n").alias("kept")
+    )
+    return target.groupBy(*by).agg(
+        F.sum("n").alias("n_slots"), F.sum("changed").alias("n_changed"), (F.sum("kept") / F.sum("n")).alias("consistency")
+    )
+
+
+def _alignments(hits: DataFrame) -> DataFrame:
+    """The hits by occurrence, as (doc_id, item_id, merged, line, pos, at): once
+    by their diagonal ``pos - at``, once by runs of diagonals at most ``DRIFT``
+    apart (a copy with words put in or left out)."""
+    line = hits.withColumn("line", F.col("pos") - F.col("at"))
+    pair = Window.partitionBy("doc_id", "item_id").orderBy("line")
+    lines = line.select("doc_id", "item_id", "line").distinct()
+    lines = lines.withColumn("new", (F.col("line") - F.lag("line", 1).over(pair) > DRIFT).cast("int"))
+    lines = lines.withColumn("run", F.coalesce(F.sum("new").over(pair), F.lit(0)))
+    one = line.select("doc_id", "item_id", F.lit(False).alias("merged"), F.col("line").cast("long").alias("line"), "pos", "at")
+    run = line.join(lines, ["doc_id", "item_id", "line"])
+    return one.unionByName(run.select("doc_id", "item_id", F.lit(True).alias("merged"), F.col("run").cast("long").alias("line"), "pos", "at"))
 
 
 def contaminated_pairs(
@@ -100,7 +143,10 @@ def contaminated_pairs(
     ``n_changed`` count slot places compared and those whose value differs,
     ``consistency`` is the share of them that follow the commonest mapping of
     their item value, which must also be the only source of its target (1.0
-    without slots). ``contaminated`` needs both shares.
+    without slots). These figures pool the pair, each window at its first
+    place in the item. ``contaminated`` needs both shares, of the pool or of
+    any single occurrence: its windows, at all their places in the item, are
+    taken by diagonal, alone and with neighbouring diagonals.
 
     Null and empty texts share nothing; an item of fewer than ``window``
     tokens, or without an informative window, can't be found; repeated rows
@@ -116,49 +162,41 @@ def contaminated_pairs(
     flat = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     hashes = _let(RAW, "r", _let(_template("r"), "t", _hashes("t", window)))
     found = flat.select("doc_id", F.posexplode(F.expr(hashes)).alias("pos", "h")).join(keys, "h")
-    hits = stage(found.select("doc_id", "item_id", "pos", "at").distinct(), "hits")
+    hits = stage(found.select("doc_id", "item_id", "pos", "at", "first").distinct(), "hits")
+    pooled = hits.where("first")
 
     # tokens of the item that the windows found cover
-    covered = hits.select("doc_id", "item_id", F.explode(F.expr(f"sequence(at, at + {window - 1})")).alias("token"))
-    covered = covered.groupBy("doc_id", "item_id").agg(F.countDistinct("token").alias("n_covered"))
-    counts = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("n_windows"))
+    tokens = F.explode(F.expr(f"sequence(at, at + {window - 1})")).alias("token")
+    covered = hits.select("doc_id", "item_id", "first", tokens).groupBy("doc_id", "item_id", "token").agg(F.max("first").alias("first"))
+    covered = covered.groupBy("doc_id", "item_id").agg(F.count_if("first").alias("n_covered"), F.count(F.lit(1)).alias("n_any"))
+    counts = pooled.groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("n_windows"))
     lengths = items.select("item_id", F.size("raw").alias("n_tokens"))
     pairs = counts.join(covered, ["doc_id", "item_id"]).join(lengths, "item_id")
     pairs = pairs.withColumn("coverage", F.col("n_covered") / F.col("n_tokens"))
 
-    # slot places of the aligned windows, by diagonal
+    # slot places of the aligned windows, of the whole pair
     ids = broadcast_if_small(stage(hits.select("doc_id").distinct(), "ids"), BROADCAST_BYTES)
     texts = flat.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = texts.select("doc_id", F.expr(RAW).alias("doc_raw"))
-    sides = hits.join(texts, "doc_id").join(items, "item_id")
-    place = sides.select(
-        "doc_id", "item_id", "pos", "at",
-        F.expr(f"slice(template, at + 1, {window})").alias("kinds"),
-        F.expr(f"slice(raw, at + 1, {window})").alias("old"),
-        F.expr(f"slice(doc_raw, pos + 1, {window})").alias("new"),
-    )
-    place = place.select("doc_id", "item_id", "pos", "at", F.posexplode(F.arrays_zip("kinds", "old", "new")).alias("k", "z"))
-    place = place.where("left(z.kinds, 1) = '<'").select(
-        "doc_id", "item_id", (F.col("at") + F.col("k")).alias("token"), (F.col("pos") + F.col("k")).alias("place"),
-        F.expr("lower(rtrim('.!?\\n', z.old))").alias("old"), F.expr("lower(rtrim('.!?\\n', z.new))").alias("new"),
-    ).distinct()
-    mapping = place.groupBy("doc_id", "item_id", "old", "new").agg(F.count(F.lit(1)).alias("n"))
-    forward = mapping.groupBy("doc_id", "item_id", "old").agg(
-        F.sum("n").alias("n"), F.sum(F.expr("CASE WHEN old <> new THEN n ELSE 0 END")).alias("changed"),
-        F.max(F.struct("n", "new")).alias("best"),
-    )
-    target = forward.groupBy("doc_id", "item_id", F.col("best.new").alias("new")).agg(
-        F.sum("n").alias("n"), F.sum("changed").alias("changed"), F.max("best.n").alias("kept")
-    )
-    slots = target.groupBy("doc_id", "item_id").agg(
-        F.sum("n").alias("n_slots"), F.sum("changed").alias("n_changed"), (F.sum("kept") / F.sum("n")).alias("consistency")
-    )
-    out = pairs.join(slots, ["doc_id", "item_id"], "left").select(
+    texts = stage(texts, "texts").select("doc_id", F.expr(RAW).alias("doc_raw"))
+    slots = _slots(pooled, texts, items, ["doc_id", "item_id"], window)
+    out = pairs.join(slots, ["doc_id", "item_id"], "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
+    passed = (F.col("coverage") >= coverage) & (F.col("consistency") >= consistent)
+    out = stage(out.withColumn("pooled", passed), "pairs")
+
+    # by occurrence, where the pool fails and an occurrence can cover enough
+    open_ = out.where(~F.col("pooled") & (F.col("n_any") / F.col("n_tokens") >= coverage)).select("doc_id", "item_id")
+    by = ["doc_id", "item_id", "merged", "line"]
+    every = stage(_alignments(hits.join(open_, ["doc_id", "item_id"], "left_semi")), "alignments")
+    share = every.select(*by, tokens).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n")).join(lengths, "item_id")
+    share = share.where(F.col("n") / F.col("n_tokens") >= coverage).select(*by)
+    every = every.join(share, by, "left_semi")
+    spoilt = _slots(every, texts, items, by, window).where(F.col("consistency") < consistent).select(*by)
+    found = share.join(spoilt, by, "left_anti").select("doc_id", "item_id").distinct().withColumn("found", F.lit(True))
+    return out.join(found, ["doc_id", "item_id"], "left").select(
         "doc_id", "item_id", "n_windows", "coverage",
-        F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
-        F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
+        F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).alias("n_changed"), "consistency",
+        (F.col("pooled") | F.coalesce("found", F.lit(False))).alias("contaminated"),
     )
-    return out.withColumn("contaminated", (F.col("coverage") >= coverage) & (F.col("consistency") >= consistent))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -96,6 +96,17 @@ def test_reparameterised_question_is_found(spark):
     assert [(r.doc_id, r.item_id, r.contaminated) for r in got] == [(1, 7, True)] and got[0].n_changed > 0
 
 
+def test_each_occurrence_of_an_item_is_judged(spark):
+    ask = "If {} walks {} km every morning and then rides a bus for {} minutes how far has she gone after the whole long week ends"
+    train = "A train travels at 60 km per hour for 2 hours. Then a train travels at 80 km per hour for 3 hours. How far did it get in all?"
+    bench = spark.createDataFrame([(7, ask.format("she", 5, 20)), (8, train)], "item_id long, text string")
+    twice = ask.format("she", 5, 20) + ". Other words stand here. " + ask.format("she", 9, 35)
+    torn = ask.format("she", 5, 20).replace("rides a bus", "rides quite a bus") + ". " + ask.format("she", 9, 35)
+    texts = [(1, twice), (2, train), (3, torn), (4, "A train travels at 60 km per hour for 2 hours, and that is that.")]
+    got = {(r.doc_id, r.item_id): r.contaminated for r in decontaminate.contaminated_pairs(docs_of(spark, texts), bench).collect()}
+    assert got == {(1, 7): True, (2, 8): True, (3, 7): True, (4, 8): False}
+
+
 def test_elias_fano_finds_every_value():
     rng = np.random.default_rng(1)
     for universe in (10, 10**5, 10**12):
