@@ -41,8 +41,13 @@ PATTERNS = {
     "github": re.compile(r"gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     "npm": re.compile(r"npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    "pem": re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z ]*PRIVATE KEY-----"),
+    "pem": re.compile(  # header lines, then the base64 body; possessive, so a text is read once
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*+((?:Proc-Type:\s*+4\s*+,\s*+ENCRYPTED\s++|DEK-Info:\s*+[A-Za-z0-9-]++\s*+,\s*+[0-9A-Fa-f]++\s++"
+        r"|[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\r\n])*+\r?\n\s*+)*+)([A-Za-z0-9+/=\s]++)-----END [A-Z ]*PRIVATE KEY-----"
+    ),
 }
+ENCRYPTED = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+\s*,\s*([0-9A-Fa-f]+)")  # the start vector is one cipher block
+OPENSSH = b"openssh-key-v1\0"
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 PLACEHOLDER = "[SECRET]"
@@ -72,25 +77,48 @@ def _jwt_header(m: re.Match) -> bool:
         return False
 
 
-def _der_length(m: re.Match) -> bool:
+def _der_length(der: bytes) -> bool:
     """The key's outer DER sequence must be as long as its length bytes say."""
-    try:
-        der = base64.b64decode("".join(m[1].split()), validate=True)
-    except (binascii.Error, ValueError):
-        return False
     if len(der) < 3 or der[0] != 0x30:
         return False
     n = der[1] & 0x7F
     return len(der) == (2 + der[1] if der[1] < 0x80 else 2 + n + int.from_bytes(der[2 : 2 + n], "big"))
 
 
+def _openssh_lengths(raw: bytes) -> bool:
+    """The magic, cipher, kdf and kdf options, the number of keys, that many
+    public keys and the private part must fill the body."""
+
+    def after(at: int) -> int:  # behind a string field and its length
+        return at + 4 + int.from_bytes(raw[at : at + 4], "big") if at + 4 <= len(raw) else len(raw) + 1
+
+    at = after(after(after(len(OPENSSH))))
+    keys, at = int.from_bytes(raw[at : at + 4], "big"), at + 4
+    while keys > 0 and at < len(raw):
+        keys, at = keys - 1, after(at)
+    return keys == 0 and after(at) == len(raw)
+
+
+def _key_body(m: re.Match) -> bool:
+    try:
+        raw = base64.b64decode("".join(m[2].split()), validate=True)
+    except (binascii.Error, ValueError):
+        return False
+    if raw.startswith(OPENSSH):
+        return _openssh_lengths(raw)
+    if start := ENCRYPTED.search(m[1]):  # whole cipher blocks instead of DER
+        block = len(start[1]) // 2
+        return block in (8, 16) and len(raw) > 0 and len(raw) % block == 0
+    return _der_length(raw)
+
+
 VALID = {
     "assign": lambda m: len(m[2]) >= ASSIGN_MIN,
     "access": lambda m: len(m[0]) >= ACCESS_MIN,
     "github": _token_checksum,
     "npm": _token_checksum,
     "jwt": _jwt_header,
-    "pem": _der_length,
+    "pem": _key_body,
 }
 
 

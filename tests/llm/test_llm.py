@@ -88,6 +88,36 @@ def test_secrets_checksums_and_redaction(spark):
     assert out[1] == "é [SECRET] [SECRET]" and out[4] is None
 
 
+def test_openssh_and_encrypted_keys_are_redacted(spark):
+    import base64
+
+    def field(x):
+        return len(x).to_bytes(4, "big") + x
+
+    def pem(name, raw, head="", end="\n"):
+        body = base64.b64encode(raw).decode()
+        lines = end.join(body[i : i + 64] for i in range(0, len(body), 64))
+        return f"-----BEGIN {name}PRIVATE KEY-----{end}{head}{lines}{end}-----END {name}PRIVATE KEY-----"
+
+    def ssh(keys, private=b"p" * 70):
+        return b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + keys.to_bytes(4, "big") + field(b"k" * 51) * keys + field(private)
+
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{}\n\n"
+    iv, cipher = "0123456789ABCDEF" * 2, bytes(range(16, 128))
+    keys = [
+        pem("OPENSSH ", ssh(1)), pem("OPENSSH ", ssh(2)), pem("OPENSSH ", ssh(1), end="\r\n"), pem("RSA ", cipher, head.format(iv)),
+        pem("RSA ", cipher, head.format(iv).replace("\n", "\r\n"), "\r\n"), pem("RSA ", cipher, " ".join(head.format(iv).split()) + " ", " "),
+        pem("DSA ", cipher, head.replace("AES-128-CBC", "DES-EDE3-CBC").format(iv[:16])), pem("EC ", b"\x30\x03abc", "Comment: mine\n"),
+        pem("", b"\x30\x03abc"),
+    ]
+    odd = [pem("OPENSSH ", ssh(1) + b"x"), pem("OPENSSH ", ssh(1)[:40]), pem("OPENSSH ", ssh(0)[:50]), pem("RSA ", cipher[:-1], head.format(iv)),
+           pem("RSA ", cipher, head.format("0123")), pem("RSA ", cipher), pem("RSA ", cipher, "Comment: mine\n")]
+    texts = [(i, f"\u00e9 before {k} after") for i, k in enumerate(keys + odd)]
+    out = {r.doc_id: r.text for r in secrets.redact_secrets(docs_of(spark, texts)).collect()}
+    assert [out[i] for i in range(len(keys))] == ["\u00e9 before [SECRET] after"] * len(keys)
+    assert [out[i] for i in range(len(keys), len(texts))] == [x for _, x in texts[len(keys) :]]
+
+
 def test_reparameterised_question_is_found(spark):
     ask = "If {} walks {} km every morning and then rides a bus for {} minutes how far has {} gone after the whole long week ends"
     bench = spark.createDataFrame([(7, "Say. " + ask.format("we and Anna", 5, 20, "Anna"))], "item_id long, text string")
