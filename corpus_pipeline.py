@@ -14,6 +14,9 @@ from crewload.llm import decontaminate, minhash, packing, quality, queries, secr
 from crewload.session import stage
 
 
+PERCENT = 80  # least Jaccard similarity of near copies; 26 bands of 5 miss 3.3e-5 of the pairs at it
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -26,9 +29,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the smallest id;
-    of repeated rows of one id the first by text. Rows without an id stay."""
-    groups = stage(minhash.near_duplicates(docs), "groups")
+    """One document of each group of near copies (five-word shingles, a
+    similarity of ``PERCENT`` or more): that of the smallest id; of repeated rows of one id the first by text. Rows without an id stay."""
+    groups = stage(minhash.near_duplicates(docs, percent=PERCENT), "groups")
     kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
     first = F.min_by(F.struct(*named.columns), F.struct("text", *[c for c in named.columns if c != "text"]))
