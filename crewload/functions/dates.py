@@ -21,12 +21,14 @@ def _col(c) -> Column:
 
 
 def update_stamp(date_col="UPDATE_DATE", time_col="UPDATE_TIME") -> Column:
-    """'yyyy-MM-dd HH:mm:ss' text of the update; NULL if either part is NULL.
+    """'yyyy-MM-dd HH:mm:ss' text of the update; NULL if either part is NULL
+    or not of that form (one rule for cutoffs, order and day flags).
 
     The text orders like the moment it names, so it is compared and sorted
     as text (cutoffs, earliest / latest version).
     """
-    return F.concat(_col(date_col).cast("string"), F.lit(" "), _col(time_col).cast("string"))
+    stamp = F.concat(_col(date_col).cast("string"), F.lit(" "), _col(time_col).cast("string"))
+    return F.when(stamp.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), stamp)
 
 
 def stamp_order(stamp="update_dt", seq="TXN_SEQ") -> list[Column]:
@@ -48,3 +50,10 @@ def backfill_cutoff(bid_period="BID_PERIOD", day: int = 24) -> Column:
     """P3: '<bid period, day> minus one month' at midnight, per row."""
     anchor = F.try_to_date(F.concat(_col(bid_period), F.lit(f"-{day:02d}")), "yyyy-MM-dd")
     return F.concat(F.date_format(F.add_months(anchor, -1), "yyyy-MM-dd"), F.lit(" 00:00:00"))
+
+
+def seconds_of_day(time_col) -> Column:
+    """Seconds since midnight of an ``HH:mm:ss`` text; NULL for any other."""
+    t = _col(time_col).cast("string")
+    part = lambda i: F.substring(t, i, 2).try_cast("int")
+    return F.when(t.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"), part(1) * 3600 + part(4) * 60 + part(7))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedup import first_per_key
+from .ordered import fill_down_all
 
 DATE = "DATE"
 NAME = "name"  # which end a row came from; NULL on an inserted day
@@ -113,6 +114,19 @@ def expand_multi(
     return pad_days(ends, pad_keys, fill_cols, tiebreak=[F.col(NAME).asc_nulls_last(), *order])
 
 
+def trip_order(pad_keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
+    """Rows of padded trips: trips by their keys, days ascending."""
+    return [*(F.col(k).asc_nulls_last() for k in pad_keys), F.col(DATE).asc(), F.col(NAME).asc_nulls_last(), *order]
+
+
+def fill_literal(
+    padded: DataFrame, pad_keys: Sequence[str], order: Sequence[Column], fill_cols: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
+    """W7 as the source writes it (N8): one fill over all trips, so a missing
+    value takes that of the row above even if it belongs to another trip."""
+    return fill_down_all(padded, fill_cols, trip_order(pad_keys, order), within)
+
+
 def carried_days(expanded: DataFrame) -> DataFrame:
     """X4 core: every day of a multi-day trip except its first day (rows
     that are the TO_DATE end or inserted)."""

@@ -23,11 +23,9 @@ from .joins import anti_join, join_null_safe, semi_join
 
 def sort_key(stamp: str = "update_dt", seq: str = "TXN_SEQ") -> Column:
     """Ascending row order as one decimal: the 14 digits of the stamp (NULL
-    last, as is a stamp not of the form yyyy-MM-dd HH:mm:ss), then the
-    sequence (NULL first)."""
+    last), then the sequence (NULL first). ``stamp`` is an ``update_stamp``."""
     return F.expr(
-        rf"""cast(coalesce(CASE WHEN {stamp} RLIKE r'^\d{{4}}-\d\d-\d\d \d\d:\d\d:\d\d$'
-            THEN cast(translate({stamp}, '- :', '') AS decimal(15, 0)) END, 100000000000000BD) * 100000000000000000000BD
+        f"""cast(coalesce(cast(translate({stamp}, '- :', '') AS decimal(15, 0)), 100000000000000BD) * 100000000000000000000BD
         + coalesce(cast({seq} AS decimal(20, 0)) + 9223372036854775809BD, 0BD) AS decimal(38, 0))"""
     )
 

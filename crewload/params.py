@@ -18,6 +18,7 @@ ASSIGNMENT_CODE = "ASN"
 RELEASE_CODES = ("SNO", "GDO", "OFF", "DRP")  # reserve day given back
 ASSIGNMENT_RELEASE_CODES = ("SNO", "GDO", "OFF")  # assignment given back (no DRP)
 OVERLAP_CODES = ("FLP", "FLU", "2SK", "FLV", "FLS", "SOP", "REM", "FAR", "MIL")
+RUNNING_CODE = "RLV"  # the only reserve code of the running release rule
 PILOT_SEATS = ("CA", "FO")
 PLACEHOLDER_CREW_IDS = ("1", "10")
 FA_EQUIPMENT = "NA"  # literal two-letter text, not NULL
@@ -76,6 +77,8 @@ class RunParams:
     asn_rows_only: bool = False  # FA incremental keeps whole ASN groups
     fold_arc_in_backfill: bool = False  # backfill compares with "ACR"
     flag_date_intent: bool = False  # 789 rule inert unless switched on
+    running_release: bool = False  # W6 instead of W3 (an earlier variant of the live report)
+    literal_fill: bool = False  # N7/N8: fill down over the whole table, not inside each trip
     pilot_cutoff_day: int | None = None  # P5: commented pilot reserve cutoff (day 21) when set
 
     def day(self, offset: int) -> dt.date:

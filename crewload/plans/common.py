@@ -26,8 +26,20 @@ ASN_COLS = (
 )
 
 
+def with_sequence(df: DataFrame, seq: str) -> DataFrame:
+    """``df`` with the tie-break column ``seq``. A table without one (the
+    source's own query selects none) gets a hash of the whole row: the same
+    row has the same place however the table is read, and only equal rows
+    tie."""
+    if seq in df.columns:
+        return df
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns)]
+    return df.withColumn(seq, F.xxhash64(*texts))
+
+
 def with_stamp(df: DataFrame) -> DataFrame:
-    return df.withColumn(STAMP, update_stamp())
+    """Log rows with their update stamp, and with a sequence if they have none."""
+    return with_sequence(df, SEQ).withColumn(STAMP, update_stamp())
 
 
 def first_order():

@@ -14,14 +14,14 @@ from .. import params as P
 from ..functions.dates import backfill_cutoff, incremental_cutoff
 from ..functions.predicates import fold_code
 from ..operators.dedup import first_per_key
-from ..operators.expand import DATE, expand_multi, expand_single
+from ..operators.expand import DATE, expand_multi, expand_single, fill_literal
 from ..operators.groups import group_any
 from ..operators.reshape import union_by_name
-from ..sources.history import scan_bid_periods, scan_window
+from ..sources.history import Log, scan_bid_periods, scan_window
 from .common import ASN_COLS, FILL_COLS, SEQ, STAMP, first_order, keyed, lit_equipment, silver, stage, with_stamp
 
 
-def fa_scan(history: DataFrame, params: P.RunParams, backfill: bool) -> DataFrame:
+def fa_scan(history: Log, params: P.RunParams, backfill: bool) -> DataFrame:
     if backfill:
         return scan_bid_periods(history, params.first_bid_period, params.last_bid_period)
     lo, hi = params.bounds(params.fa_window)
@@ -52,8 +52,13 @@ def fa_single(asn: DataFrame, backfill: bool) -> DataFrame:
     return lit_equipment(expand_single(asn, fa_day_keys(backfill), first_order(), input_unique=backfill), P.FA_EQUIPMENT)
 
 
-def fa_multi(asn: DataFrame, backfill: bool) -> DataFrame:
-    out = expand_multi(asn, fa_day_keys(backfill), fa_pad_keys(backfill), first_order(), FILL_COLS)
+def fa_multi(asn: DataFrame, backfill: bool, params: P.RunParams = P.DEFAULT) -> DataFrame:
+    keys, pads = fa_day_keys(backfill), fa_pad_keys(backfill)
+    if params.literal_fill:  # a backfill filled each bid period by itself
+        padded = expand_multi(asn, keys, pads, first_order(), ())
+        out = fill_literal(padded, pads, first_order(), FILL_COLS, ["BID_PERIOD"] if backfill else [])
+    else:
+        out = expand_multi(asn, keys, pads, first_order(), FILL_COLS)
     return lit_equipment(out.withColumnRenamed(DATE, "PAIRING_DATE"), P.FA_EQUIPMENT)
 
 
@@ -97,11 +102,11 @@ def fa_incremental_parts(scan: DataFrame, params: P.RunParams) -> tuple[DataFram
     return reserve, asn
 
 
-def fa_silver(history: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
+def fa_silver(history: Log, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M4 (backfill) / M5 (incremental): union, date cap, RSV counted as RLV."""
     scan = fa_scan(history, params, backfill)
     reserve, asn = (fa_backfill_parts if backfill else fa_incremental_parts)(scan, params)
-    parts = [silver(reserve), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill))]
+    parts = [silver(reserve), silver(fa_single(asn, backfill)), silver(fa_multi(asn, backfill, params))]
     cap = params.run_date if backfill else params.incremental_cap
     out = union_by_name(*parts).where(F.col("PAIRING_DATE") <= F.lit(cap))
     out = out.withColumn("TRANSACTION_CODE", fold_code("TRANSACTION_CODE", *P.FOLDED_FA_CODE))

@@ -9,18 +9,18 @@ enough (one aggregate); otherwise the join is a shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.dates import incremental_cutoff, update_stamp
+from ..functions.dates import incremental_cutoff, seconds_of_day, update_stamp
 from ..functions.predicates import flag_rule_keep, fold_code, if_else, not_equal_drop_null
 from ..operators.dedup import first_per_key, latest_per_key
-from ..operators.expand import DATE, expand_multi, expand_single
+from ..operators.expand import DATE, expand_multi, expand_single, fill_literal
 from ..operators.joins import broadcast_if_small, join_null_safe
 from ..operators.reshape import union_by_name
-from ..sources.history import scan_bid_periods, scan_window, schedule_scan
-from .common import FILL_COLS, SEQ, STAMP, first_order, keyed, silver, stage, with_stamp
+from ..sources.history import Log, scan_bid_periods, scan_window, schedule_scan
+from .common import FILL_COLS, SEQ, STAMP, first_order, keyed, silver, stage, with_sequence, with_stamp
 
 JOIN_KEYS = ["CREW_ID", "BID_PERIOD", "PAIRING_POSITION", "BASE"]
 SCHED_OUT = ["CREW_ID", "BID_PERIOD", "PAIRING_POSITION", "EQUIPMENT", "BASE"]
@@ -38,14 +38,15 @@ def schedule_versions(schedule: DataFrame, params: P.RunParams, backfill: bool)
 
 def latest_schedule(schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = False) -> DataFrame:
     """Latest version per crew, effective range and seat (per bid date
-    in the backfill), highest SCHED_SEQ among equal stamps."""
-    s = schedule_versions(schedule, params, backfill).withColumn(STAMP, update_stamp())
+    in the backfill), highest SCHED_SEQ among equal stamps (a hash of the row
+    where the schedule has no such column)."""
+    s = with_sequence(schedule_versions(schedule, params, backfill), "SCHED_SEQ").withColumn(STAMP, update_stamp())
     keys = (["BID_DATE"] if backfill else []) + VERSION_KEYS
     s = latest_per_key(s, keys, STAMP, "SCHED_SEQ")
     return s.select("CREW_ID", F.col("BID_DATE").alias("BID_PERIOD"), "PAIRING_POSITION", "EQUIPMENT", "BASE")
 
 
-def pilot_scan(history: DataFrame, params: P.RunParams, backfill: bool) -> DataFrame:
+def pilot_scan(history: Log, params: P.RunParams, backfill: bool) -> DataFrame:
     if backfill:
         return scan_bid_periods(history, params.first_bid_period, params.last_bid_period)
     lo, hi = params.bounds(params.pilot_window)
@@ -69,8 +70,13 @@ def pilot_single(asn: DataFrame, backfill: bool) -> DataFrame:
     return expand_single(asn, pilot_day_keys(backfill), first_order())
 
 
-def pilot_multi(asn: DataFrame, backfill: bool) -> DataFrame:
-    out = expand_multi(asn, pilot_day_keys(backfill), pilot_pad_keys(backfill), first_order(), FILL_COLS)
+def pilot_multi(asn: DataFrame, backfill: bool, params: P.RunParams = P.DEFAULT) -> DataFrame:
+    keys, pads = pilot_day_keys(backfill), pilot_pad_keys(backfill)
+    if params.literal_fill:
+        padded = expand_multi(asn, keys, pads, first_order(), ())
+        out = fill_literal(padded, pads, first_order(), FILL_COLS, ["BID_PERIOD"] if backfill else [])
+    else:
+        out = expand_multi(asn, keys, pads, first_order(), FILL_COLS)
     return out.withColumnRenamed(DATE, "PAIRING_DATE")
 
 
@@ -117,7 +123,7 @@ def pilot_assignments(firsts: DataFrame) -> DataFrame:
     return firsts.where((F.col("TRANSACTION_CODE") == P.ASSIGNMENT_CODE) & F.col("__matched"))
 
 
-def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
+def pilot_silver(history: Log, schedule: DataFrame, params: P.RunParams = P.DEFAULT, backfill: bool = True) -> DataFrame:
     """M6 (backfill) / M7 (incremental)."""
     scan = pilot_scan(history, params, backfill)
     # The schedule is a dimension: broadcast its latest versions when the
@@ -128,7 +134,7 @@ def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams =
     latest = broadcast_if_small(latest_schedule(schedule, params, backfill), bound_from=versions)
     firsts = stage(pilot_firsts(scan, latest, backfill, params), "pilot-firsts")
     reserve, asn = pilot_reserve(firsts), pilot_assignments(firsts)
-    out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill)))
+    out = union_by_name(silver(reserve), silver(pilot_single(asn, backfill)), silver(pilot_multi(asn, backfill, params)))
     if backfill:
         frm = P.FOLDED_PILOT_CODE[0] if params.fold_arc_in_backfill else P.BACKFILL_TYPO_CODE
         out = out.where(F.col("PAIRING_DATE") <= F.lit(params.run_date))
@@ -143,3 +149,32 @@ def pilot_silver(history: DataFrame, schedule: DataFrame, params: P.RunParams =
         out = out.withColumn("TRANSACTION_CODE", fold_code("TRANSACTION_CODE", *P.FOLDED_PILOT_CODE))
         out = out.where(not_equal_drop_null("EQUIPMENT", P.EXCLUDED_EQUIPMENT))
     return silver(out)
+
+
+WRAP_COLS = ["CREW_ID", "PAIRING_DATE", "FROM_TIME", "TO_TIME"]
+
+
+def wrap_times(history: Log, params: P.RunParams = P.DEFAULT, over_midnight: bool = True) -> DataFrame:
+    """The longest duty of each crew and day among reserve rows without a
+    pairing: ties of the maximum kept, then the first row of each code.
+
+    ``FROM_TIME`` and ``TO_TIME`` are texts ``HH:mm:ss``; a duty that ends
+    before it starts ends the next day (``over_midnight=False``: the plain,
+    then negative, difference of the source). A day with a row whose length
+    is unknown has an unknown maximum and is left out, as in the source.
+
+    Two rows of one crew, day, code and length are alike but for their
+    order, so a top-1 on those four comes first, before any shuffle: a hot
+    day sends on as many rows as it has codes and lengths, however many rows
+    tie for the maximum.
+    """
+    lo, hi = params.bounds(params.pilot_window)
+    rows = scan_window(history, lo, hi).where(F.col("TRANSACTION_CODE").isin(*P.PILOT_RESERVE_CODES) & F.col("PAIRING_NO").isNull())
+    span = seconds_of_day("TO_TIME") - seconds_of_day("FROM_TIME")
+    if over_midnight:
+        span = span + F.when(span < 0, 86400).otherwise(0)
+    rows = with_stamp(rows).withColumn("__span", span).select(*WRAP_COLS, "TRANSACTION_CODE", "__span", STAMP, SEQ)
+    day = ["CREW_ID", "PAIRING_DATE"]
+    firsts = first_per_key(rows, [*day, "TRANSACTION_CODE", "__span"], first_order())
+    top = F.rank().over(Window.partitionBy(*day).orderBy(F.col("__span").desc_nulls_first()))
+    return firsts.withColumn("__top", top).where((F.col("__top") == 1) & F.col("__span").isNotNull()).select(*WRAP_COLS, "TRANSACTION_CODE")

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.dates import backfill_cutoff, incremental_cutoff
+from ..functions.dates import backfill_cutoff, incremental_cutoff, update_stamp
 from ..functions.predicates import not_equal_drop_null, not_in_keep_null
-from ..operators import dedup, expand, groups, joins, reshape
+from ..operators import dedup, expand, groups, joins, ordered, reshape
 from ..schema import SILVER
 from ..sinks import tables as sinks
+from ..sinks.catalog import SilverTable
 from ..session import scratch_path, stage
 from ..sources import fixtures, history
+from ..sources.log_table import LogTable, write_log
 from . import fa, pilot, reconcile as rc, utilization
 from .common import STAMP, silver, with_stamp
 
@@ -38,6 +40,36 @@ class Tables:
         return fixtures.sched(self.spark, self.sf_dir)
 
 
+#: Named silver tables already written, by Spark application and input folder.
+_TARGETS: dict[tuple[str, str], SilverTable] = {}
+
+
+def named_table(t: Tables, name: str) -> SilverTable:
+    """An empty silver table in a database of its own, in the shared folder."""
+    db = scratch_path(t.spark, "db").rsplit("-", 1)[-1]
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return SilverTable(t.spark, f"crew_{db}.{name}", buckets, scratch_path(t.spark, f"db-{db}"))
+
+
+def backfilled_table(t: Tables, p: P.RunParams) -> SilverTable:
+    """The table as both backfills leave it, written once per application
+    and input: what an incremental run finds."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _TARGETS:
+        table = named_table(t, "reserve_utilization")
+        table.overwrite(fa.fa_silver(t.txn, p, True))
+        table.append(pilot.pilot_silver(t.txn, t.sched, p, True), guarded=False)
+        _TARGETS[key] = table
+    return _TARGETS[key]
+
+
+def log_table(t: Tables) -> LogTable:
+    """The log as the production table: partitioned, with its day catalogue."""
+    path = scratch_path(t.spark, "log")
+    write_log(t.txn, path)
+    return LogTable(t.spark, path)
+
+
 def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     p = params
     q: dict[str, Query] = {}
@@ -106,8 +138,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("asn_without_reserve")
     def _(t):
-        r = recon(t)
-        return rc.asn_without_reserve(r.days, r.available)
+        return recon(t).unassigned
 
     @reg("asn_with_reserve")
     def _(t):
@@ -143,8 +174,50 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return pilot.pilot_silver(t.txn, t.sched, p.with_(pilot_cutoff_day=21), backfill=False)
 
+    @reg("available_reserve_running")
+    def _(t):
+        return silver(rc.reconcile(t.txn, p.with_(running_release=True)).available)
+
+    @reg("running_releases")
+    def _(t):
+        return rc.running_releases(recon(t).rows)
+
+    @reg("wrap_times")
+    def _(t):
+        return pilot.wrap_times(fixtures.txn_times(t.spark, t.sf_dir), p)
+
+    literal = p.with_(literal_fill=True)
+
+    @reg("fa_backfill_literal_fill")
+    def _(t):
+        return fa.fa_silver(t.txn, literal, backfill=True)
+
+    @reg("fa_incremental_literal_fill")
+    def _(t):
+        return fa.fa_silver(t.txn, literal, backfill=False)
+
+    @reg("pilot_backfill_literal_fill")
+    def _(t):
+        return pilot.pilot_silver(t.txn, t.sched, literal, backfill=True)
+
+    @reg("carried_days_literal_fill")
+    def _(t):
+        return silver(rc.reconcile(t.txn, literal).carried)
+
+    @reg("reconciled_days_literal_fill")
+    def _(t):
+        return rc.reconcile(t.txn, literal).result
+
     # --- sources and parameters -------------------------------------------
 
+    @reg("scan_window_by_catalogue")
+    def _(t):
+        return history.scan_window(log_table(t), *p.bounds(p.pilot_window))
+
+    @reg("bid_periods_by_partition")
+    def _(t):
+        return history.bid_periods(log_table(t), p.first_bid_period, p.last_bid_period)
+
     @reg("scan_window")
     def _(t):
         return history.scan_window(t.txn, *p.bounds(p.fa_window))
@@ -194,7 +267,7 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("latest_ties")
     def _(t):
-        s = with_stamp(pilot.schedule_versions(t.sched, p, backfill=False))
+        s = pilot.schedule_versions(t.sched, p, backfill=False).withColumn(STAMP, update_stamp())
         return dedup.latest_with_ties(s, pilot.VERSION_KEYS, STAMP)
 
     @reg("equipment_date_rule")
@@ -225,6 +298,12 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
     def _(t):
         return silver(fa.fa_incremental_parts(fa.fa_scan(t.txn, p, False), p)[0])
 
+    @reg("group_ids")
+    def _(t):
+        rows = fa.fa_scan(t.txn, p, False).where((F.col("CREW_INDICATOR") == P.FA) & F.col("TRANSACTION_CODE").isin(*P.FA_RESERVE_CODES))
+        keys = ["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"]
+        return ordered.dense_ids(rows.select("TXN_SEQ", *keys), keys)
+
     @reg("distinct_crew_day")
     def _(t):
         rows = history.scan_window(t.txn, *p.bounds(p.explore_window)).where(F.col("CREW_INDICATOR") == P.FA)
@@ -284,9 +363,33 @@ def build(params: P.RunParams = P.DEFAULT) -> dict[str, Query]:
 
     @reg("append_batch")
     def _(t):
-        table = reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True))
+        table = backfilled_table(t, p)
         batch = stage(pilot.pilot_silver(t.txn, t.sched, p, False), "batch")
-        return sinks.guarded_rows(batch, table, sinks.batch_ranges(batch))
+        periods = [r[0] for r in batch.select("BID_PERIOD").distinct().collect()]
+        return silver(table.new_rows(batch, periods))
+
+    @reg("named_table_roundtrip")
+    def _(t):
+        table = named_table(t, "silver")
+        table.overwrite(reshape.union_by_name(fa.fa_silver(t.txn, p, True), pilot.pilot_silver(t.txn, t.sched, p, True)))
+        table.overwrite(fa.fa_silver(t.txn, p, True))
+        table.append(fa.fa_silver(t.txn, p, False))
+        return table.read()
+
+    @reg("rows_added")
+    def _(t):
+        table, fa_inc = named_table(t, "counted"), fa.fa_silver(t.txn, p, False)
+        runs = [
+            ("1 backfill", table.overwrite(fa.fa_silver(t.txn, p, True))),
+            ("2 append", table.append(fa_inc)),
+            ("3 append again", table.append(fa_inc)),
+        ]
+        return t.spark.createDataFrame(runs, "run string, rows long")
+
+    @reg("table_periods")
+    def _(t):
+        found = [(x,) for x in backfilled_table(t, p).periods()]
+        return t.spark.createDataFrame(found, "BID_PERIOD string")
 
     @reg("overwrite_roundtrip")
     def _(t):

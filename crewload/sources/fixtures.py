@@ -46,6 +46,15 @@ TXN_FINAL = [
     "date_sub(PAIRING_DATE, CAST(TXN_SEQ % 60 AS INT)) AS UPDATE_DATE",
     "UPDATE_TIME",
 ]
+# Duty times of the log rows (FIXTURES.md §2): a start, and an end up to 23.5
+# hours later (so some duties pass midnight); some ends are missing.
+TXN_TIMES = [
+    "*",
+    "UPDATE_TIME AS FROM_TIME",
+    """CASE WHEN TXN_SEQ % 101 <> 0 THEN substr(CAST(TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0,
+       CAST(substr(UPDATE_TIME, 1, 2) AS INT) , CAST(substr(UPDATE_TIME, 4, 2) AS INT) + 30 * CAST(TXN_SEQ % 48 AS INT),
+       CAST(substr(UPDATE_TIME, 7, 2) AS INT)) AS STRING), 12, 8) END AS TO_TIME""",
+]
 SCHED_COLS = [
     "o_orderkey AS SCHED_SEQ",
     "CAST(o_custkey AS STRING) AS CREW_ID",
@@ -73,6 +82,11 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").selectExpr(*TXN_STAGE).selectExpr(*TXN_FINAL)
 
 
+def txn_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction log with the duty times ``FROM_TIME`` and ``TO_TIME``."""
+    return txn(spark, sf_dir).selectExpr(*TXN_TIMES)
+
+
 def sched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crew schedule versions from ``orders``."""
     return _table(spark, sf_dir, "orders").selectExpr(*SCHED_COLS)

@@ -21,9 +21,11 @@ from ..plans.fa import fa_silver
 from ..plans.pilot import pilot_silver
 from ..session import staging_scope
 from ..sinks.tables import append_guarded, append_plain, write_overwrite
+from ..sources.history import Log
+from ..sources.log_table import open_log
 
 
-def run_backfill(history: DataFrame, schedule: DataFrame, table_path: str, params: P.RunParams = P.DEFAULT) -> None:
+def run_backfill(history: Log, schedule: DataFrame, table_path: str, params: P.RunParams = P.DEFAULT) -> None:
     """Build the table from scratch: FA backfill overwrites, the pilot
     backfill appends (the order matters, as in the source)."""
     spark = history.sparkSession
@@ -33,7 +35,7 @@ def run_backfill(history: DataFrame, schedule: DataFrame, table_path: str, param
 
 
 def run_incremental(
-    spark: SparkSession, history: DataFrame, schedule: DataFrame, table_path: str, params: P.RunParams = P.DEFAULT
+    spark: SparkSession, history: Log, schedule: DataFrame, table_path: str, params: P.RunParams = P.DEFAULT
 ) -> dict[str, int]:
     """One rolling refresh: FA batch then pilot batch, each appended behind
     the guard. Running it twice adds nothing the second time."""
@@ -67,7 +69,7 @@ def refresh_on_arrival(
         if batch.isEmpty():
             return
         versions = schedule() if callable(schedule) else schedule
-        run_incremental(spark, spark.read.parquet(history_path), versions, table_path, params_for_run())
+        run_incremental(spark, open_log(spark, history_path), versions, table_path, params_for_run())
 
     writer = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

@@ -114,10 +114,18 @@ def bid_scan(s: Sql, p: P.RunParams) -> str:
 # --- shared pieces -----------------------------------------------------------
 
 
-def pad_fill(s: Sql, prefix: str, ends: str, group, carry, order: str, fill=FILL) -> str:
+def fill_all(src: str, cols, group, order: str, within=(), fill=FILL) -> str:
+    """Ungrouped downward fill of all rows: groups by key, days ascending."""
+    keys = ", ".join(f"{g} NULLS LAST" for g in group)
+    part = f"PARTITION BY {', '.join(within)} " if within else ""
+    w = f"{part}ORDER BY {keys}, DATE, name NULLS LAST, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return ", ".join(f"last_value({c} IGNORE NULLS) OVER ({w}) AS {c}" if c in fill else c for c in cols) + f" FROM {src}"
+
+
+def pad_fill(s: Sql, prefix: str, ends: str, group, carry, order: str, fill=FILL, literal: bool = False, within=()) -> str:
     """Insert missing days per group between first and last DATE of its ends,
     then fill ``fill`` downward inside the group. ``carry`` are the other end
-    columns (NULL on inserted days)."""
+    columns (NULL on inserted days). ``literal``: one fill over all groups."""
     gk = ", ".join(group)
     bounds = s.add(f"{prefix}_bounds", f"SELECT {gk}, min(DATE) AS lo, max(DATE) AS hi FROM {ends} GROUP BY {gk}")
     days = s.add(
@@ -130,6 +138,9 @@ def pad_fill(s: Sql, prefix: str, ends: str, group, carry, order: str, fill=FILL
         f"SELECT {', '.join('g.' + c for c in group)}, g.DATE, {', '.join('e.' + c for c in others)}\n"
         f"FROM {days} g LEFT JOIN {ends} e ON {nsj('g', 'e', group)} AND g.DATE = e.DATE",
     )
+    if literal:
+        cols = [*group, "DATE", *others]
+        return s.add(f"{prefix}_filled", "SELECT " + fill_all(padded, cols, group, order, within, fill))
     wdef = f"PARTITION BY {gk} ORDER BY DATE, name NULLS LAST, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     cols = []
     for c in list(group) + ["DATE"] + others:
@@ -234,7 +245,10 @@ def fa_pad_keys(backfill: bool):
 def fa_multi_filled(s: Sql, p: P.RunParams, backfill: bool) -> str:
     ends = fa_ends(s, p, backfill)
     tag = "bf" if backfill else "inc"
-    return pad_fill(s, f"fa_pad_{tag}", ends, fa_pad_keys(backfill), list(ASN_CARRY) + ["name"], FIRST)
+    within = ["BID_PERIOD"] if backfill else []
+    return pad_fill(
+        s, f"fa_pad_{tag}", ends, fa_pad_keys(backfill), list(ASN_CARRY) + ["name"], FIRST, literal=p.literal_fill, within=within
+    )
 
 
 def fa_multi(s: Sql, p: P.RunParams, backfill: bool) -> str:
@@ -357,7 +371,8 @@ def pilot_multi_filled(s: Sql, p: P.RunParams, backfill: bool) -> str:
         f"SELECT * FROM (\n{unpivot_ends(asn, PASN_CARRY)}\n) u\n" + first_row(pilot_day_keys(backfill)),
     )
     group = [*(["BID_PERIOD"] if backfill else []), "CREW_ID", "TRANSACTION_CODE", "EQUIPMENT", "PAIRING_NO"]
-    return pad_fill(s, f"pilot_pad_{tag}", ends, group, list(PASN_CARRY) + ["name"], FIRST)
+    within = ["BID_PERIOD"] if backfill else []
+    return pad_fill(s, f"pilot_pad_{tag}", ends, group, list(PASN_CARRY) + ["name"], FIRST, literal=p.literal_fill, within=within)
 
 
 def pilot_multi(s: Sql, p: P.RunParams, backfill: bool) -> str:
@@ -395,6 +410,7 @@ def pilot_silver(s: Sql, p: P.RunParams, backfill: bool) -> str:
 # --- reconciliation (M9-M11, M1) --------------------------------------------
 
 DAYK = ("CREW_ID", "PAIRING_DATE")
+EX_PAD = ["CREW_ID", "PAIRING_NO", "update_dt"]
 MATCH = ("CREW_INDICATOR", "CREW_ID", "PAIRING_DATE", "PAIRING_POSITION", "BID_PERIOD", "BASE", "EQUIPMENT")
 
 
@@ -460,6 +476,32 @@ def m9(s, p):
     )
 
 
+def w6(s, p):
+    """The commented rule, step by step: a running count, a lag, any()."""
+    f = ex_flag(s, p)
+    w = f"OVER (PARTITION BY CREW_ID, PAIRING_DATE ORDER BY {FIRST}"
+    rows = s.add(
+        "w6_rows",
+        f"SELECT CREW_ID, PAIRING_DATE, TRANSACTION_CODE = 'RLV' AS rlv, sum(CASE WHEN TRANSACTION_CODE = 'RLV' THEN 1 ELSE 0 END)"
+        f" {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 0 AS has_rlv,"
+        f" lag(TRANSACTION_CODE IN ('SNO', 'GDO', 'OFF'), 1, false) {w}) AS after_release FROM {f}",
+    )
+    return s.add(
+        "w6",
+        f"SELECT CREW_ID, PAIRING_DATE, bool_or(has_rlv AND after_release) AS released FROM {rows}"
+        " GROUP BY CREW_ID, PAIRING_DATE HAVING bool_or(rlv)",
+    )
+
+
+def m9_running(s, p):
+    f, g = ex_flag(s, p), w6(s, p)
+    return (
+        f"SELECT {SILVER} FROM (SELECT *, 'NA' AS EQUIPMENT FROM {f}) x WHERE TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES)}"
+        f" AND EXISTS (SELECT 1 FROM {g} z WHERE NOT released AND {nsj('z', 'x', DAYK)})\n"
+        + first_row(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"])
+    )
+
+
 def m10(s, p):
     f, rej = ex_flag(s, p), w5(s, p)
     return s.add(
@@ -485,7 +527,7 @@ def ex_filled(s, p):
         "ex_ends",
         f"SELECT * FROM (\n{unpivot_ends(a, ASN_CARRY)}\n) u\n" + first_row(["CREW_ID", "TRANSACTION_CODE", "DATE", "PAIRING_NO"]),
     )
-    return pad_fill(s, "ex_pad", ends, ["CREW_ID", "PAIRING_NO", "update_dt"], list(ASN_CARRY) + ["name"], FIRST)
+    return pad_fill(s, "ex_pad", ends, EX_PAD, list(ASN_CARRY) + ["name"], FIRST, literal=p.literal_fill)
 
 
 def ex_multi(s, p):
@@ -519,6 +561,11 @@ def j4(s, p):
 
 def x4(s, p):
     f, ov = ex_multi(s, p), w4(s, p)
+    if p.literal_fill:  # the first days go before the fill
+        later = s.add("ex_later", "SELECT * FROM ex_pad_padded WHERE name = 'TO_DATE' OR name IS NULL")
+        cols = [*EX_PAD, "DATE", *(c for c in ASN_CARRY if c not in EX_PAD), "name"]
+        fill = s.add("ex_later_filled", "SELECT " + fill_all(later, cols, EX_PAD, FIRST))
+        f = s.add("ex_later_days", f"SELECT * EXCLUDE (DATE), DATE AS PAIRING_DATE, 'NA' AS EQUIPMENT FROM {fill}")
     return s.add(
         "x4",
         f"SELECT * FROM {f} x WHERE (name = 'TO_DATE' OR name IS NULL) AND {not_in_days('x', ov)}",
@@ -617,7 +664,42 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
     reg("pilot_backfill_arc_folded", lambda s: f"SELECT * FROM {pilot_silver(s, p_arc, True)}")
     p_cut = p.with_(pilot_cutoff_day=21)
     reg("pilot_incremental_cutoff", lambda s: f"SELECT * FROM {pilot_silver(s, p_cut, False)}")
+    reg("available_reserve_running", lambda s: m9_running(s, p))
+    reg("running_releases", lambda s: f"SELECT * FROM {w6(s, p)}")
+    p_lit = p.with_(literal_fill=True)
+    reg("fa_backfill_literal_fill", lambda s: f"SELECT * FROM {fa_silver(s, p_lit, True)}")
+    reg("fa_incremental_literal_fill", lambda s: f"SELECT * FROM {fa_silver(s, p_lit, False)}")
+    reg("pilot_backfill_literal_fill", lambda s: f"SELECT * FROM {pilot_silver(s, p_lit, True)}")
+    reg("carried_days_literal_fill", lambda s: f"SELECT {SILVER} FROM {x4(s, p_lit)}")
+    reg("reconciled_days_literal_fill", lambda s: f"SELECT * FROM {m11(s, p_lit)}")
+
+    def wrap_times(s):
+        lo, hi = p.bounds(p.pilot_window)
+        secs = lambda c: f"(epoch(CAST({c} AS TIME)))"
+        src = s.add(
+            "wrap_rows",
+            "SELECT *, CAST((TO_SECS - FROM_SECS + 86400) % 86400 AS INT) AS wrap_dif FROM (SELECT *, UPDATE_TIME AS FROM_TIME,"
+            f" {secs('UPDATE_TIME')} AS FROM_SECS, CASE WHEN TXN_SEQ % 101 <> 0 THEN ({secs('UPDATE_TIME')} + 1800 * (TXN_SEQ % 48)) % 86400 END AS TO_SECS"
+            f" FROM {window(s, 'wrap_win', lo, hi)} WHERE TRANSACTION_CODE IN ('ARC', 'SCR') AND PAIRING_NO IS NULL) x",
+        )
+        top = s.add(
+            "wrap_top",
+            f"SELECT CREW_ID, PAIRING_DATE, max(wrap_dif) AS top FROM {src} GROUP BY CREW_ID, PAIRING_DATE HAVING count(*) = count(wrap_dif)",
+        )
+        tied = s.add(
+            "wrap_tied",
+            f"SELECT x.*, {STAMP} AS update_dt FROM {src} x JOIN {top} t ON {nsj('x', 't', DAYK)} AND wrap_dif = top",
+        )
+        return (
+            "SELECT CREW_ID, PAIRING_DATE, FROM_TIME, CAST(TIME '00:00:00' + to_seconds(CAST(TO_SECS AS BIGINT)) AS VARCHAR) AS TO_TIME,"
+            f" TRANSACTION_CODE FROM {tied} " + first_row(["CREW_ID", "PAIRING_DATE", "TRANSACTION_CODE"])
+        )
+
+    reg("wrap_times", wrap_times)
     # sources and parameters
+    lo_p, hi_p = p.bounds(p.pilot_window)
+    reg("scan_window_by_catalogue", lambda s: f"SELECT * FROM {window(s, 'p_win', lo_p, hi_p)}")
+    reg("bid_periods_by_partition", lambda s: f"SELECT DISTINCT BID_PERIOD FROM {bid_scan(s, p)} ORDER BY BID_PERIOD DESC")
     lo_fa, hi_fa = p.bounds(p.fa_window)
     reg("scan_window", lambda s: f"SELECT * FROM {window(s, 'fa_win', lo_fa, hi_fa)}")
     reg("scan_bid_period", lambda s: f"SELECT * FROM {bid_scan(s, p)}")
@@ -737,6 +819,22 @@ def queries(p: P.RunParams = P.DEFAULT) -> dict[str, str]:
         return f"SELECT * FROM {b} x WHERE NOT EXISTS (SELECT 1 FROM {t0} z WHERE {nsj('z', 'x', allc)})"
 
     reg("append_batch", append_batch)
+    def added(s):
+        return f"SELECT * FROM {fa_silver(s, p, False)} x WHERE NOT EXISTS (SELECT 1 FROM {fa_silver(s, p, True)} z WHERE {nsj('z', 'x', allc)})"
+
+    reg("named_table_roundtrip", lambda s: f"SELECT * FROM {fa_silver(s, p, True)} UNION ALL ({added(s)})")
+    reg(
+        "rows_added",
+        lambda s: f"SELECT '1 backfill' AS run, count(*) AS rows FROM {fa_silver(s, p, True)}"
+        f" UNION ALL SELECT '2 append', count(*) FROM ({added(s)}) a UNION ALL SELECT '3 append again', 0",
+    )
+    reg("table_periods", lambda s: f"SELECT DISTINCT BID_PERIOD FROM {table0(s)}")
+    reg(
+        "group_ids",
+        lambda s: "SELECT TXN_SEQ, CREW_ID, PAIRING_DATE, TRANSACTION_CODE, dense_rank() OVER (ORDER BY CREW_ID NULLS LAST,"
+        f" PAIRING_DATE NULLS LAST, TRANSACTION_CODE NULLS LAST) AS temp_id FROM {window(s, 'fa_win', lo_fa, hi_fa)}"
+        f" WHERE CREW_INDICATOR = 'FA' AND TRANSACTION_CODE IN {inlist(P.FA_RESERVE_CODES)}",
+    )
     reg("overwrite_roundtrip", lambda s: f"SELECT * FROM {fa_silver(s, p, True)}")
 
     def append_roundtrip(s):
