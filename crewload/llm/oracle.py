@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from .decontaminate import CONSISTENT, COVERAGE, MIN_LITERAL, TOKEN, UNITS, WINDOW
 from .minhash import PERCENT
+from .mixing import SEED, SYMBOLS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SAID = r"\### Assistant: </turn> ok"  # the turns of conversation -7
@@ -126,4 +127,68 @@ SELECT doc_id, item_id, n_windows, coverage, coalesce(n_slots, 0) AS n_slots, co
 FROM pair LEFT JOIN slot USING (doc_id, item_id)
 """
 
-ORACLES = {"op3_template_decontamination": OP3, "op5_reply_trees": OP5, "op10_circulant_minhash": OP10}
+# Every anchor against every row.
+OP11 = """
+WITH typed AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CASE WHEN isfinite(x::DOUBLE) THEN floor(256 * x::DOUBLE) END) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+), r AS (
+    SELECT * FROM typed WHERE len(list_filter(v, lambda x: x IS NULL)) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+# The capped shares in closed form: sources by cap per weight, the first k
+# capped; keys and prefix sums over all rows at once.
+OP12 = rf"""
+WITH d AS (
+    SELECT doc_id, source, text, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), weighted AS (
+    SELECT doc_id, source, size,
+        1 / (1 + 4 * coalesce((length(text) - length(translate(text, '{SYMBOLS}', '')))::DOUBLE / nullif(size, 0), 0.0::DOUBLE)) AS weight,
+        (('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+    FROM d
+), keyed AS (
+    SELECT *, -ln(u) / weight AS key FROM weighted
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source
+), w AS (
+    SELECT source, source_size, [5, 2, 1][1 + (place - 1) % 3] AS w, 3 * source_size AS cap, sum(source_size) OVER () AS total FROM s
+), o AS (
+    SELECT *, coalesce(sum(cap) OVER b, 0) AS capped, coalesce(sum(w) OVER a, 0) AS free,
+        row_number() OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST) AS k
+    FROM w WINDOW b AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        a AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), first_free AS (
+    SELECT k, (total - capped)::DOUBLE AS num, free::DOUBLE AS den FROM o WHERE w * (total - capped) <= cap * free ORDER BY k LIMIT 1
+), t AS (
+    SELECT source, source_size, CASE WHEN o.k < f.k THEN cap::DOUBLE ELSE w * num / den END AS target FROM o LEFT JOIN first_free f ON true
+), b AS (
+    SELECT source, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+        CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS whole FROM t
+), placed AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size, weight
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM keyed
+)
+SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(budget - whole * source_size - before, size)) AS BIGINT) AS taken
+FROM placed JOIN b ON placed.source IS NOT DISTINCT FROM b.source
+"""
+
+ORACLES = {
+    "op3_template_decontamination": OP3,
+    "op5_reply_trees": OP5,
+    "op10_circulant_minhash": OP10,
+    "op11_cover_tree": OP11,
+    "op12_exponential_mix": OP12,
+}

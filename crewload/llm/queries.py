@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, licenses, minhash, ngram_trie, packing, perplexity, quality, secrets
+from . import chat, decontaminate, extract, hard_negatives, licenses, minhash, mixing, ngram_trie, packing, perplexity, quality
+from . import repair, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,27 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = lambda x: 256 * x.cast("double")
+    whole = lambda x: F.when(F.abs(y(x)) < float(1 << 53), F.floor(y(x)).cast("double")).otherwise(y(x))
+    rows = _table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label"),
+        F.transform("embedding", whole).alias("vec"),  # NaN and infinity stay what they are
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_exponential_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = mixing.word_count()
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), size, mixing.text_quality(size))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,5 +105,8 @@ QUERIES = {
         op8_license_index,
         op9_secret_scan,
         op10_circulant_minhash,
+        op11_cover_tree,
+        op12_exponential_mix,
+        op13_audit_repair,
     )
 }
