@@ -14,6 +14,7 @@ piece reads its sequence and offset from the plan.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,55 @@ from .words import blocks, hash_spans, ragged
 
 MAX_TOKENS = 2048
 GROUP_ROWS = 8192  # rows of one ranking group, about
-CACHE = 1_000_000  # distinct chunks whose ids a Python worker remembers
+CACHE = 1 << 20  # distinct chunks whose ids a Python worker remembers
+CACHE_IDS = 6 << 20  # and their ids
+JOIN = 64  # chunks tokenised as one text
 CHUNK_BYTES = 2 << 20  # text bytes tokenised at a time
 
 #: First bytes of characters that are no white space (one- and two-byte ones).
 _SOLID = np.zeros(256, bool)
 _SOLID[[*range(0x21, 0x7F), *range(0xC3, 0xE0)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,;:!?"]] = True
+
+
+def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Places where texts may be cut without a change of their ids.
+
+    The byte-level pre-tokeniser looks at no character before a unit, and a
+    unit always starts at a space before a non-space, at a stop after an
+    ASCII letter, and on both sides of a single line end between non-spaces.
+    """
+    cut = np.zeros(len(data), bool)
+    now, after = data[:-1], data[1:]
+    cut[:-1] = (now == 0x20) & _SOLID[after]
+    cut[1:] |= _LETTER[now] & _STOP[after]
+    if len(data) > 2:
+        solid = _SOLID & (np.arange(256) < 0x7F)
+        single = (data[1:-1] == 0x0A) & solid[data[:-2]] & _SOLID[data[2:]]
+        cut[1:-1] |= single
+        cut[2:] |= single
+    # none of these looks across a text's end: every text starts a chunk, and
+    # one cut before its last byte would miss what follows
+    full = offs[1:] > offs[:-1]
+    cut[offs[1:][full] - 1] &= data[offs[1:][full] - 1] != 0x20
+    first, last = offs[:-1][full], offs[1:][full]
+    long = last - first > 1
+    lone = last[long] - 1
+    cut[lone] &= data[lone] != 0x0A
+    cut[first] = True
+    return np.flatnonzero(cut)
 
 
 class _Chunks:
-    """Token ids of chunks by chunk hash; grows as chunks are met.
+    """Token ids of chunks of text; grows as chunks are met, so that each
+    distinct chunk is tokenised once (as long as it is remembered).
 
-    The byte-level pre-tokeniser always starts a new unit at a space followed
-    by a non-space, so a text cut there gives the same ids chunk by chunk,
-    and each distinct chunk is tokenised once.
+    An open-addressing table of chunk hashes; bytes, ids and sizes lie in
+    buffers that only grow. A hash alone is never trusted: the bytes are
+    compared, and a chunk that differs is tokenised by itself.
     """
 
     def __init__(self, path: str):
@@ -46,45 +82,139 @@ class _Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)  # byte-level: a character for each byte
+        self.slots = np.empty(4 * CACHE, np.int32)
+        self.key = np.empty(CACHE, np.uint64)
+        self.start, self.size = np.empty(CACHE, np.int32), np.empty(CACHE, np.int32)
+        self.text_start, self.text_size = np.empty(CACHE, np.int64), np.empty(CACHE, np.int32)
+        self.ids, self.text = np.empty(1 << 20, np.uint32), np.empty(1 << 22, np.uint8)
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.slots.fill(-1)
+        self.n = self.n_ids = self.n_text = 0
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The row of each hash, or -1."""
+        mask = np.uint64(len(self.slots) - 1)
+        slot = (h & mask).astype(np.int64)
+        row = self.slots[slot]
+        todo = np.flatnonzero((row >= 0) & (self.key[row] != h))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & int(mask)
+            r = self.slots[slot[todo]]
+            row[todo] = r
+            todo = todo[(r >= 0) & (self.key[r] != h[todo])]
+        return row
+
+    def _add(self, h: np.ndarray, rows: np.ndarray) -> None:
+        """Enter rows of distinct new hashes."""
+        mask = len(self.slots) - 1
+        slot, todo = (h & np.uint64(mask)).astype(np.int64), np.arange(len(h))
+        while len(todo):
+            free = self.slots[slot[todo]] < 0
+            mine = todo[free]
+            self.slots[slot[mine]] = rows[mine]  # of several the last one stays
+            todo = todo[self.slots[slot[todo]] != rows[todo]]
+            slot[todo] = (slot[todo] + 1) & mask
+
+    @staticmethod
+    def _room(buffer: np.ndarray, n: int) -> np.ndarray:
+        return buffer if n <= len(buffer) else np.concatenate([buffer, np.empty(max(n - len(buffer), len(buffer)), buffer.dtype)])
+
+    def _ids(self, raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids joined, ids per text) of texts that lie one after another."""
+        offs = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        texts = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(raw)).to_pylist()
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(count.sum())), count
+
+    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids joined, ids per chunk, bytes joined) of byte spans. Chunks
+        that start with a space before a non-space start a unit after any
+        text, so ``JOIN`` of them are tokenised as one; the bytes of each id
+        tell where its chunk ends."""
+        size = ends - starts
+        raw = data[ragged(starts, size)]
+        at = np.cumsum(size) - size
+        free = (raw[at] == 0x20) & (size > 1)
+        free[free] = _SOLID[raw[at[free] + 1]]
+        alone, many = np.flatnonzero(~free), np.flatnonzero(free)
+        own, count_alone = self._ids(raw[ragged(at[alone], size[alone])], size[alone])
+        if not len(many):
+            return own, count_alone, raw
+        joined = np.add.reduceat(size[many], np.arange(0, len(many), JOIN))
+        ids, _ = self._ids(raw[ragged(at[many], size[many])], joined)
+        reached = np.cumsum(self.n_bytes[ids])
+        last = np.searchsorted(reached, stops := np.cumsum(size[many]))
+        if not np.array_equal(reached[last], stops):
+            raise ValueError("the tokeniser joins bytes across a space")
+        count = np.zeros(len(size), np.int64)
+        count[alone], count[many] = count_alone, np.diff(last, prepend=-1)
+        out, to = np.empty(int(count.sum()), np.uint32), np.cumsum(count) - count
+        out[ragged(to[alone], count_alone)], out[ragged(to[many], count[many])] = own, ids
+        return out, count, raw
+
+    def _learn(self, data, starts, ends, h) -> None:
+        ids, count, raw = self._encode(data, starts, ends)
+        n, size = len(h), ends - starts
+        if self.n + n > CACHE or self.n_ids + len(ids) > CACHE_IDS:
+            self.clear()
+            if n > CACHE or len(ids) > CACHE_IDS:
+                return  # a block of more than the cache: tokenised chunk by chunk below
+        self.ids, self.text = self._room(self.ids, self.n_ids + len(ids)), self._room(self.text, self.n_text + len(raw))
+        self.ids[self.n_ids : self.n_ids + len(ids)], self.text[self.n_text : self.n_text + len(raw)] = ids, raw
+        at = slice(self.n, self.n + n)
+        self.key[at], self.size[at], self.text_size[at] = h, count, size
+        self.start[at], self.text_start[at] = self.n_ids + np.cumsum(count) - count, self.n_text + np.cumsum(size) - size
+        self._add(h, np.arange(self.n, self.n + n, dtype=np.int32))
+        self.n, self.n_ids, self.n_text = self.n + n, self.n_ids + len(ids), self.n_text + len(raw)
+
+    def _same(self, row: np.ndarray, data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the remembered chunks have these bytes."""
+        same = self.text_size[row] == size
+        at = np.flatnonzero(same)
+        mine, theirs = ragged(starts[at], size[at]), ragged(self.text_start[row[at]], size[at])
+        differ = data[mine] != self.text[theirs]
+        if differ.any():
+            same[at[np.searchsorted(np.cumsum(size[at]), np.flatnonzero(differ), "right")]] = False
+        return same
 
     def ids_of(self, data: np.ndarray, offs: np.ndarray):
         """(ids of all texts joined, ids per text)."""
-        cut = np.zeros(len(data), bool)
-        cut[:-1] = (data[:-1] == 0x20) & _SOLID[data[1:]]
-        full = offs[1:] > offs[:-1]
-        cut[offs[1:][full] - 1] = False
-        cut[offs[:-1][full]] = True
-        starts = np.flatnonzero(cut)
+        starts = chunk_starts(data, offs)
         ends = np.append(starts[1:], len(data))
         doc = np.searchsorted(offs, starts, "right") - 1
-        distinct, first, which = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.key) + len(distinct) > CACHE:
-            self.clear()
-        at = np.searchsorted(self.key, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.key)
-        new[inside] = self.key[at[inside]] != distinct[inside]
-        if new.any():
-            f = first[new]
-            texts = [data[a:b].tobytes().decode() for a, b in zip(starts[f].tolist(), ends[f].tolist(), strict=True)]
-            got = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            self.start = np.append(self.start, len(self.ids) + np.cumsum(size) - size)
-            self.size = np.append(self.size, size)
-            self.ids = np.append(self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum())))
-            rows = len(self.row) + np.arange(len(got))
-            self.key = np.insert(self.key, at[new], distinct[new])
-            self.row = np.insert(self.row, at[new], rows)
-            at = np.searchsorted(self.key, distinct)
-        row = self.row[at][which]
-        size = self.size[row]
-        return self.ids[ragged(self.start[row], size)], np.bincount(doc, size, len(offs) - 1).astype(np.int64)
+        h = hash_spans(data, starts, ends)
+        row = self._find(h)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            distinct, first = np.unique(h[new], return_index=True)
+            self._learn(data, starts[new[first]], ends[new[first]], distinct)
+            row = self._find(h)  # all again: the cache may have been emptied
+        span = (ends - starts).astype(np.int64)
+        odd = row < 0
+        odd[~odd] = ~self._same(row[~odd], data, starts[~odd], span[~odd])
+        if not odd.any():
+            size = self.size[row].astype(np.int64)
+            return self.ids[ragged(self.start[row].astype(np.int64), size)], np.bincount(doc, size, len(offs) - 1).astype(np.int64)
+        ids, size = self._mixed(data, starts, ends, row, odd)
+        return ids, np.bincount(doc, size, len(offs) - 1).astype(np.int64)
+
+    def _mixed(self, data, starts, ends, row, odd):
+        """Ids where some chunks are not (rightly) remembered."""
+        own, count, _ = self._encode(data, starts[odd], ends[odd])
+        size = np.zeros(len(row), np.int64)
+        size[~odd], size[odd] = self.size[row[~odd]], count
+        at = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), np.uint32)
+        ids[ragged(at[odd], count)] = own
+        ids[ragged(at[~odd], size[~odd])] = self.ids[ragged(self.start[row[~odd]].astype(np.int64), size[~odd])]
+        return ids, size
 
 
 def _chunk_cache(path: str) -> _Chunks:
