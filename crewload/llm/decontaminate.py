@@ -8,12 +8,17 @@ benchmark, so a question asked again with other numbers or names still meets
 its template. For a document and item that share windows the slots of the two
 are then compared place by place: a re-parameterised question maps each slot
 value of the item to one value in the document.
+
+An item that its template windows can't carry (a few words, a title in capitals,
+an unspaced script) is looked for as it stands: windows of its plain tokens,
+found in one alignment, whole for an item shorter than a window.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.joins import broadcast_if_small
 from ..session import stage
@@ -23,6 +28,7 @@ MIN_LITERAL = 4  # literal words a window needs to be evidence
 COVERAGE = 0.5  # share of an item's template tokens found in the document
 CONSISTENT = 0.8  # share of slot places that follow one mapping of values
 DRIFT = 4  # tokens between neighbouring diagonals of one alignment
+MIN_EXACT = 3  # plain tokens of the shortest item that is looked for
 BROADCAST_BYTES = 32 << 20  # measured; beyond it, a shuffle join
 
 # --- fixed values: unit words that are no common words -------------------------
@@ -39,6 +45,11 @@ UNITS = (
 TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{L}+(?:[.!?]+|\n)?"
 
 
+#: Scripts without spaces between words: there a character is a token.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+PLAIN = (
+    rf"transform(regexp_extract_all(coalesce(text, ''), r'[0-9]+(?:[.,:/][0-9]+)*|[{UNSPACED}]|[\p{{L}}&&[^{UNSPACED}]]+', 0), x -> lower(x))"
+)
 RAW = f"regexp_extract_all(coalesce(text, ''), r'{TOKEN}', 0)"
 
 
@@ -126,6 +137,43 @@ def _alignments(hits: DataFrame) -> DataFrame:
     return one.unionByName(run.select("doc_id", "item_id", F.lit(True).alias("merged"), F.col("run").cast("long").alias("line"), "pos", "at"))
 
 
+def _verbatim(flat: DataFrame, items: DataFrame, keys: DataFrame, window: int, coverage: float) -> DataFrame:
+    """(doc_id, item_id, n_windows, coverage) of items found word for word,
+    among those whose informative windows (but the first, whose capital may
+    read as a name) cover less than ``coverage``: a verbatim copy of any other
+    item has all its windows.
+
+    Windows of plain tokens are as wide as the item allows, a power of two up
+    to ``window``. Those of one diagonal must cover ``coverage`` of the item's
+    tokens, or all of an item of fewer than ``window`` tokens.
+    """
+    tokens = F.explode(F.expr(f"sequence(at, at + {window - 1})")).alias("token")
+    reach = keys.where("at > 0").select("item_id", tokens).distinct().groupBy("item_id").agg(F.count(F.lit(1)).alias("reach"))
+    weak = items.join(reach, "item_id", "left").where(F.coalesce(F.col("reach"), F.lit(0)) < coverage * F.size("raw"))
+    weak = weak.select("item_id", F.expr(PLAIN).alias("plain")).withColumn("n", F.size("plain")).where(F.col("n") >= MIN_EXACT)
+    width = F.least(F.lit(window), F.expr("1 << cast(floor(log2(n)) AS int)")).cast("int")
+    weak = stage(weak.withColumn("width", width), "weak-items")
+    hits = None
+    for k in sorted(r["width"] for r in weak.select("width").distinct().collect()):  # at most log2(window) widths
+        hashes = _let("plain", "p", _hashes("p", k))
+        wanted = weak.where(F.col("width") == k).select("item_id", "n", F.posexplode(F.expr(hashes)).alias("at", "h"))
+        wanted = broadcast_if_small(stage(wanted, "plain-windows"), BROADCAST_BYTES)
+        found = flat.select("doc_id", F.posexplode(F.expr(_let(PLAIN, "p", _hashes("p", k)))).alias("pos", "h")).join(wanted, "h")
+        found = found.select("doc_id", "item_id", "n", "at", (F.col("pos") - F.col("at")).alias("line"), F.lit(k).alias("width")).distinct()
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
+        return flat.sparkSession.createDataFrame([], StructType([flat.schema["doc_id"], items.schema["item_id"]])).selectExpr(
+            "*", "cast(0 AS bigint) AS n_windows", "cast(0 AS double) AS coverage"
+        )
+    by = ["doc_id", "item_id", "n", "line"]
+    lines = hits.groupBy(*by).agg(F.count(F.lit(1)).alias("n_windows"))
+    covered = hits.select(*by, F.explode(F.expr("sequence(at, at + width - 1)")).alias("token")).distinct()
+    lines = lines.join(covered.groupBy(*by).agg((F.count(F.lit(1)) / F.first("n")).alias("coverage")), by)
+    lines = lines.where(F.col("coverage") >= F.when(F.col("n") < window, 1.0).otherwise(coverage))
+    best = lines.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_windows")).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.coverage")
+
+
 def contaminated_pairs(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -148,18 +196,28 @@ def contaminated_pairs(
     any single occurrence: its windows, at all their places in the item, are
     taken by diagonal, alone and with neighbouring diagonals.
 
-    Null and empty texts share nothing; an item of fewer than ``window``
-    tokens, or without an informative window, can't be found; repeated rows
-    of an id count as one document; rows with a null id are left out; other
-    columns are ignored; an empty table on either side gives no rows.
+    An item whose windows can't carry it is found word for word (see
+    ``_verbatim``): then ``n_windows`` and ``coverage`` are of plain tokens,
+    without slots. Items of fewer than ``MIN_EXACT`` tokens say too little and
+    are not looked for.
+
+    Null and empty texts share nothing. Rows of one id with other texts are
+    compared each; a pair's row is then that of its most contaminated texts.
+    Rows with a null id are left out; other columns are ignored; an empty
+    table on either side gives no rows.
     """
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
-    items = items.groupBy("item_id").agg(F.min("text").alias("text")).withColumn("raw", F.expr(RAW))
-    items = stage(items.select("item_id", "raw", F.expr(_let("raw", "r", _template("r"))).alias("template")), "items")
-    keys = stage(_benchmark_windows(items, window, min_literal), "windows")
-    keys = broadcast_if_small(keys, BROADCAST_BYTES)
+    def keyed(rows: DataFrame, key: str) -> DataFrame:  # a text of an id
+        rows = rows.select(F.col(key).cast("long").alias("id"), F.col("text").cast("string")).where("id is not null")
+        return rows.select(F.struct("id", F.xxhash64("text").alias("h")).alias(key), "text")
+
+    items = keyed(benchmark, "item_id").groupBy("item_id").agg(F.min("text").alias("text")).withColumn("raw", F.expr(RAW))
+    items = stage(items.select("item_id", "text", "raw", F.expr(_let("raw", "r", _template("r"))).alias("template")), "items")
+    windows = stage(_benchmark_windows(items, window, min_literal), "windows")
+    keys = broadcast_if_small(windows, BROADCAST_BYTES)
 
-    flat = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+    flat = keyed(docs, "doc_id")
+    verbatim = stage(_verbatim(flat, items, windows, window, coverage), "verbatim")
+    items = items.drop("text")
     hashes = _let(RAW, "r", _let(_template("r"), "t", _hashes("t", window)))
     found = flat.select("doc_id", F.posexplode(F.expr(hashes)).alias("pos", "h")).join(keys, "h")
     hits = stage(found.select("doc_id", "item_id", "pos", "at", "first").distinct(), "hits")
@@ -192,11 +250,16 @@ def contaminated_pairs(
     every = every.join(share, by, "left_semi")
     spoilt = _slots(every, texts, items, by, window).where(F.col("consistency") < consistent).select(*by)
     found = share.join(spoilt, by, "left_anti").select("doc_id", "item_id").distinct().withColumn("found", F.lit(True))
-    return out.join(found, ["doc_id", "item_id"], "left").select(
+    out = out.join(found, ["doc_id", "item_id"], "left").select(
         "doc_id", "item_id", "n_windows", "coverage",
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).alias("n_changed"), "consistency",
         (F.col("pooled") | F.coalesce("found", F.lit(False))).alias("contaminated"),
     )
+    plain = verbatim.selectExpr("*", "0L AS n_slots", "0L AS n_changed", "1.0D AS consistency", "true AS contaminated")
+    figures = ["n_windows", "coverage", "n_slots", "n_changed", "consistency"]
+    both = out.unionByName(plain).select(F.col("doc_id.id").alias("doc_id"), F.col("item_id.id").alias("item_id"), F.struct("contaminated", *figures).alias("r"))
+    best = both.groupBy("doc_id", "item_id").agg(F.max("r").alias("r"))
+    return best.select("doc_id", "item_id", *(F.col(f"r.{c}") for c in figures), "r.contaminated")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -4,11 +4,13 @@ A page becomes a sequence of leaf blocks. Each block has a tag-path vector
 (the tags, class and id words from the root, hashed into an embedding), a
 hashed-word vector and a few figures; a bidirectional LSTM in numpy reads the
 whole sequence and classifies every block with the document's context. It is
-trained on a bounded sample of the pages themselves (``FIT_PAGES``): blocks
-whose containers say what they are give the labels, and the containers are
-renamed at random (and hidden now and then), so the network learns layout and
-context, not one vocabulary of tags. What can never be main text (scripts,
-navigation, forms, hidden parts ...) is taken out after the labelling.
+trained on a bounded sample of the pages themselves (``FIT_PAGES``,
+``FIT_HTML``): blocks whose containers say what they are give the labels, and
+the containers are renamed at random (and hidden now and then), so the network
+learns layout and context, not one vocabulary of tags. Its label decides: the
+names are input and teach, they take no block out. Only what a browser doesn't
+show as text (scripts, styles, form fields, hidden parts) never becomes a block
+of the result.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,12 +43,15 @@ CHROME_WORDS = frozenset(
     gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion
     related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: Beside a chrome word these make a name of the page around that part.
+AROUND = frozenset("has with without no layout page wrap wrapper container site outer".split())
 MAIN_TAGS, MAIN_WORDS = ("article", "main"), ("content", "article", "post", "entry", "story", "main", "body", "text")
 # --------------------------------------------------------------------------------
 
-FIT_PAGES, FIT_HTML = 240, 30_000  # pages to fit on, and their longest html
+FIT_PAGES, FIT_HTML, FIT_BLOCKS = 480, 16 << 20, 400  # pages to fit on, characters of them all, blocks in a row of one page
+PATH_NAMES = 64  # innermost names that a block's path vector holds
 PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, HIDDEN = 256, 512, 12, 6, 12
-EPOCHS, BATCH, RATE, SEED = 14, 24, 0.02, 11
+EPOCHS, BATCH, RATE, SEED = 12, 24, 0.015, 11
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -60,33 +66,59 @@ _NAME = re.compile(r"[a-z0-9]+")
 @dataclass
 class Leaf:
     text: str
-    path: tuple[str, ...]  # tags and class words from the root
+    path: tuple[str, ...]  # tags and class words, the innermost last
     linked: int  # characters inside links
-    chrome: bool  # in a part that is never main text
+    chrome: bool  # in a part that names itself something else than main text
     main: bool  # in a container that says it is the main text
+    hidden: bool = False  # never shown
+    depth: int = 0
+
+
+@dataclass(slots=True)
+class Open:
+    """An open element; its path is its own names and those above it."""
+
+    tag: str
+    names: tuple[str, ...]
+    above: "Open | None"
+    chrome: bool
+    main: bool
+    hidden: bool
+    depth: int
+
+    def path(self) -> tuple[str, ...]:
+        out: list[str] = []
+        at: Open | None = self
+        while at is not None and len(out) < PATH_NAMES:
+            out.extend(reversed(at.names))
+            at = at.above
+        return tuple(reversed(out[:PATH_NAMES]))
 
 
 def _element(tag: str, attrs: str):
-    """(names of the path, chrome, main) of an opened element."""
-    names, chrome, main = [tag], tag in CHROME_TAGS, tag in MAIN_TAGS
+    """(names of the path, chrome, main, hidden) of an opened element."""
+    names, chrome, main, hidden = [tag], tag in CHROME_TAGS, tag in MAIN_TAGS, False
     if attrs and attrs.strip():
         for m in _ATTR.finditer(attrs):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key in ("class", "id", "role"):
-                found = _NAME.findall(value)
-                names += [f".{x}" for x in found]
-                if tag not in ("body", "html", *MAIN_TAGS):
-                    chrome = chrome or not CHROME_WORDS.isdisjoint(found)
-                main = main or any(x in MAIN_WORDS for x in found)
+                for word in value.split():
+                    found = _NAME.findall(word)
+                    names += [f".{x}" for x in found]
+                    if tag not in ("body", "html", *MAIN_TAGS) and AROUND.isdisjoint(found):
+                        chrome = chrome or not CHROME_WORDS.isdisjoint(found)
+                    main = main or any(x in MAIN_WORDS for x in found)
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-                chrome = True
-    return names, chrome, main
+                hidden = True
+    return names, chrome or hidden, main, hidden
 
 
 def leaves(page: str) -> list[Leaf]:
     """The text blocks of a page in order; white space is one space."""
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...], bool, bool]] = [("", (), False, False)]
+    root = Open("", (), None, False, False, False, 0)
+    stack, opened = [root], Counter()  # what is open, and how often
+    blocks = [root]  # those of it that are no inline elements
     parts: list[str] = []
     linked = links = 0
 
@@ -94,13 +126,18 @@ def leaves(page: str) -> list[Leaf]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, path, chrome, main = top()
-            out.append(Leaf(text, path, min(linked, len(text)), chrome, main))
+            at = blocks[-1]
+            out.append(Leaf(text, at.path(), min(linked, len(text)), at.chrome, at.main, at.hidden, at.depth))
         parts.clear()
         linked = 0
 
-    def top():
-        return next(x for x in reversed(stack) if x[0] not in INLINE)
+    def close(i: int):
+        """Close the open elements from the i-th on."""
+        for x in stack[i:]:
+            opened[x.tag] -= 1
+            if x.tag not in INLINE:
+                blocks.pop()
+        del stack[i:]
 
     at = 0
     for m in _MARKUP.finditer(page):
@@ -119,11 +156,11 @@ def leaves(page: str) -> list[Leaf]:
                 links = max(0, links - 1)
             if tag not in INLINE:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
+                if stack[i].tag == tag:
+                    close(i)
                     break
-                if tag in INLINE and stack[i][0] not in INLINE:
+                if tag in INLINE and stack[i].tag not in INLINE:
                     break
         elif tag in VOID:
             if tag == "hr":
@@ -133,16 +170,23 @@ def leaves(page: str) -> list[Leaf]:
                 flush()
                 links = 0 if tag in SCOPE else links
                 ends = CLOSES.get(tag, ("p",) if tag in SCOPE or tag[0] == "h" and tag[1:].isdigit() else ())
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in ends:
-                        del stack[i:]
-                    elif stack[i][0] in SCOPE:
+                for i in range(len(stack) - 1, 0, -1) if any(opened[x] for x in ends) else ():
+                    if stack[i].tag in ends:
+                        close(i)
+                    elif stack[i].tag in SCOPE:
                         break
             if tag == "a":
                 links += 1
-            names, chrome, main = _element(tag, m["attrs"])
+            names, chrome, main, hidden = _element(tag, m["attrs"])
             above = stack[-1]
-            stack.append((tag, (*above[1], *names), above[2] or chrome, above[3] or main))
+            chrome = above.chrome or chrome
+            if main and above.tag == "form" and not above.above.chrome:
+                chrome = hidden  # a form around the whole page
+            new = Open(tag, tuple(names), above, chrome, above.main or main, above.hidden or hidden, above.depth + len(names))
+            stack.append(new)
+            opened[tag] += 1
+            if tag not in INLINE:
+                blocks.append(new)
     if at < len(page):
         parts.append(page[at:])
     flush()
@@ -160,13 +204,11 @@ def encode(page: list[Leaf], memo: dict | None = None):
     paths, word_bags = (memo if memo is not None else {}).setdefault("p", {}), (memo if memo is not None else {}).setdefault("w", {})
     p = [np.array([_bucket(x, PATH_BUCKETS, paths) for x in leaf.path] or [0]) for leaf in page]
     w = []
-    for leaf in page:  # all words of a short block, the two ends of a long one
-        words = leaf.text.split(" ")
-        words = words if len(words) <= 24 else words[:12] + words[-12:]
-        w.append(np.array([zlib.crc32(x.encode()) % WORD_BUCKETS for x in words]))
+    for leaf in page:
+        w.append(np.array([zlib.crc32(x.encode()) % WORD_BUCKETS for x in leaf.text.split(" ")]))
     figures = np.array(
         [
-            [np.log1p(len(x.text)) / 5, x.linked / max(1, len(x.text)), x.text[-1] in ".!?:;", len(x.path) / 10, i / max(1, len(page) - 1)]
+            [np.log1p(len(x.text)) / 5, x.linked / max(1, len(x.text)), x.text[-1] in ".!?:;", min(x.depth, PATH_NAMES) / 10, i / max(1, len(page) - 1)]
             for i, x in enumerate(page)
         ],
         float,
@@ -321,7 +363,7 @@ def _renamed(page: list[Leaf], rng) -> list[Leaf]:
         for leaf in run:
             last = tuple(x for x in leaf.path[-1:] if x in ("p", "li", "td", "h1", "h2", "h3", "blockquote", "pre"))
             path = ("html", "body", *(() if hide else names), *last)
-            out.append(Leaf(leaf.text, path, leaf.linked, leaf.chrome, leaf.main))
+            out.append(Leaf(leaf.text, path, leaf.linked, leaf.chrome, leaf.main, leaf.hidden, len(path)))
     return out
 
 
@@ -330,7 +372,9 @@ def train(pages: list[str]) -> Labeller:
     rng, model = np.random.default_rng(SEED), Labeller()
     inputs, labels = [], []
     for page in sorted(pages):
-        found = leaves(page)
+        found = [x for x in leaves(page) if not x.hidden]
+        lo = int(rng.integers(0, max(1, len(found) - FIT_BLOCKS + 1)))
+        found = found[lo : lo + FIT_BLOCKS]
         if any(x.main and not x.chrome for x in found):
             for version in (found, _renamed(found, rng), _renamed(found, rng)):
                 inputs.append(encode(version))
@@ -345,7 +389,7 @@ def train(pages: list[str]) -> Labeller:
 
 def main_text(pages: list[str], model: Labeller, threshold: float = 0.5) -> list[str]:
     """The main text of each page: its blocks labelled main, one per line."""
-    found = [leaves(p) for p in pages]
+    found = [[x for x in leaves(p) if not x.hidden] for p in pages]
     out, memo = [""] * len(pages), {}
     order = sorted((i for i in range(len(pages)) if found[i]), key=lambda i: len(found[i]))
     lo = 0
@@ -355,21 +399,27 @@ def main_text(pages: list[str], model: Labeller, threshold: float = 0.5) -> list
             hi += 1
         group = order[lo:hi]
         for i, p in zip(group, model.probabilities([encode(found[i], memo) for i in group]), strict=True):
-            out[i] = "\n".join(x.text for x, q in zip(found[i], p, strict=True) if q >= threshold and not x.chrome)
+            out[i] = "\n".join(x.text for x, q in zip(found[i], p, strict=True) if q >= threshold)
         lo = hi
         memo = memo if len(memo.get("p", ())) < 100_000 else {}
     return out
 
 
 def fit(pages: DataFrame, n_pages: int = FIT_PAGES, max_html: int = FIT_HTML) -> Labeller:
-    """Train on the ``n_pages`` pages of the smallest id hash whose html is at
-    most ``max_html`` long (a bounded sample; labelling covers every page).
-    The ids are chosen first, so no task sends pages that are not used; of
-    repeated rows of an id one html is used, rows without an id are not."""
+    """Train on the ``n_pages`` pages of the smallest id hash, as far as their
+    html has ``max_html`` characters together (a bounded sample; labelling
+    covers every page). The ids and lengths are chosen first, so no task sends
+    pages that are not used; of repeated rows of an id one html is used, rows
+    without an id are not."""
     some = pages.select(F.col("page_id").cast("long"), F.col("html").cast("string").alias("html"))
-    some = some.where((F.length("html") <= max_html) & F.col("page_id").isNotNull())
-    ids = some.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(n_pages)
-    rows = some.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()  # n_pages rows
+    some = some.where(F.col("page_id").isNotNull() & F.col("html").isNotNull())
+    size = some.groupBy("page_id").agg(F.max(F.length("html")).alias("n"))
+    chosen, room = [], max_html
+    for r in size.orderBy(F.xxhash64("page_id"), "page_id").limit(n_pages).collect():
+        if r["n"] <= room:
+            chosen.append(r["page_id"])
+            room -= r["n"]
+    rows = some.where(F.col("page_id").isin(chosen)).groupBy("page_id").agg(F.min("html").alias("html")).collect()  # n_pages rows
     return train([r["html"] for r in rows])
 
 

@@ -191,6 +191,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * same >= percent * (F.size("sa") + F.size("sb") - same)).select("a", "b")
 
 
+def _same_id(full: DataFrame, classes: DataFrame, label: DataFrame | None) -> DataFrame | None:
+    """``label`` with the classes of one doc_id linked: an id whose rows have
+    different texts is one node, in all its classes."""
+    key = ["fp1", "fp2", "n_shingles"]
+    least, most = (f(F.struct(*key)) for f in (F.min, F.max))
+    several = stage(full.groupBy("doc_id").agg(least.alias("lo"), most.alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    if several.isEmpty():
+        return label
+    seen = full.join(broadcast_if_small(several, BROADCAST_BYTES), "doc_id", "left_semi").select("doc_id", *key).distinct()
+    seen = stage(seen.join(classes.select(*key, "rep"), key).select("doc_id", "rep"), "same-id")
+    first = seen.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    links = seen.join(first, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b")
+    if label is not None:
+        links = links.union(label.where("node <> comp").select("node", "comp"))
+    return components(links)
+
+
 def near_duplicates(
     docs: DataFrame, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT
 ) -> DataFrame:
@@ -199,8 +216,8 @@ def near_duplicates(
     ``docs`` needs doc_id and text; other columns are ignored. Words are runs
     of non-white-space with A-Z lower-cased. A null or empty text has an empty
     set and is linked with nothing; a text of fewer than ``n`` words has one
-    shingle. Rows with equal sets are linked; repeated rows give repeated
-    result rows. A null doc_id is linked with nothing: component_id null,
+    shingle. Rows with equal sets are linked, and so are the rows of one
+    doc_id, whatever their texts; repeated rows give repeated result rows. A null doc_id is linked with nothing: component_id null,
     kept true. An empty table gives no rows.
     """
     flat = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -249,6 +266,7 @@ def near_duplicates(
         left = left.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         members = stage(_reachable(left, percent), "open")
 
+    label = _same_id(full, classes, label)
     reps = classes.select("fp1", "fp2", "n_shingles", "rep")
     if label is None:
         reps = reps.withColumn("comp", F.col("rep"))

@@ -40,7 +40,7 @@ PATTERNS = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "github": re.compile(r"gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
     "npm": re.compile(r"npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])"),
-    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"),
     "pem": re.compile(  # header lines, then the base64 body; possessive, so a text is read once
         r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*+((?:Proc-Type:\s*+4\s*+,\s*+ENCRYPTED\s++|DEK-Info:\s*+[A-Za-z0-9-]++\s*+,\s*+[0-9A-Fa-f]++\s++"
         r"|[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\r\n])*+\r?\n\s*+)*+)([A-Za-z0-9+/=\s]++)-----END [A-Z ]*PRIVATE KEY-----"
@@ -48,6 +48,9 @@ PATTERNS = {
 }
 ENCRYPTED = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+\s*,\s*([0-9A-Fa-f]+)")  # the start vector is one cipher block
 OPENSSH = b"openssh-key-v1\0"
+#: After a miss, what all later hits inside would miss by, too: a run that no
+#: full stop ends, or a run after it that none ends.
+RUNS = {"jwt": re.compile(r"[A-Za-z0-9_-]++(?!\.)|[A-Za-z0-9_-]++\.(?=[A-Za-z0-9_-]++(?!\.[A-Za-z0-9_-]))")}
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 PLACEHOLDER = "[SECRET]"
@@ -139,10 +142,14 @@ def _near_hits(automaton, raw: bytes) -> list[tuple[int, int, int]]:
         return []
     text, free, found = raw.decode("latin-1"), dict.fromkeys(KINDS, 0), []
     for at, kind in sorted(hits):
-        if at >= free[kind] and (m := PATTERNS[kind].match(text, at)):
+        if at < free[kind]:
+            continue
+        if m := PATTERNS[kind].match(text, at):
             free[kind] = m.end()
             if VALID[kind](m):
                 found.append((at, KINDS.index(kind), m.end()))
+        elif kind in RUNS and (m := RUNS[kind].match(text, at)):
+            free[kind] = m.end()
     return found
 
 
