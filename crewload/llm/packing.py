@@ -29,7 +29,8 @@ GROUP_ROWS = 8192  # rows of one ranking group, about
 CACHE = 1 << 20  # distinct chunks whose ids a Python worker remembers
 CACHE_IDS = 6 << 20  # and their ids
 JOIN = 64  # chunks tokenised as one text
-CHUNK_BYTES = 2 << 20  # text bytes tokenised at a time
+CHUNK_BYTES = 1 << 19  # text bytes taken at a time
+ENCODE_TEXTS = 256  # texts tokenised at a time: their encodings take some 100 bytes an id
 
 #: First bytes of characters that are no white space (one- and two-byte ones).
 _SOLID = np.zeros(256, bool)
@@ -128,10 +129,14 @@ class _Chunks:
     def _ids(self, raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids joined, ids per text) of texts that lie one after another."""
         offs = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        texts = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(raw)).to_pylist()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.uint32, int(count.sum())), count
+        texts = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(raw))
+        ids, count = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(size), ENCODE_TEXTS):
+            some = texts.slice(lo, ENCODE_TEXTS).to_pylist()
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            count.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter(chain.from_iterable(got), np.uint32, int(count[-1].sum())))
+        return np.concatenate(ids), np.concatenate(count)
 
     def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids joined, ids per chunk, bytes joined) of byte spans. Chunks
