@@ -58,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf and (sc is None or not sc.master.startswith("local")):
+    if not conf and (sc is None or not (sc.master == "local" or sc.master.startswith("local["))):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = conf or tempfile.mkdtemp(prefix="crewload-ckpt-")
     if sc is not None:
