@@ -8,9 +8,9 @@ trained on a bounded sample of the pages themselves (``FIT_PAGES``,
 ``FIT_HTML``): blocks whose containers say what they are give the labels, and
 the containers are renamed at random (and hidden now and then), so the network
 learns layout and context, not one vocabulary of tags. Its label decides: the
-names are input and teach, they take no block out. Only what a browser doesn't
-show as text (scripts, styles, form fields, hidden parts) never becomes a block
-of the result.
+names are input and teach. Only what a browser doesn't show as text (scripts,
+styles, form fields, hidden parts) never becomes a block of the result, nor do
+parts named as something else where they hold less than half of the text.
 """
 
 from __future__ import annotations
@@ -399,7 +399,9 @@ def main_text(pages: list[str], model: Labeller, threshold: float = 0.5) -> list
             hi += 1
         group = order[lo:hi]
         for i, p in zip(group, model.probabilities([encode(found[i], memo) for i in group]), strict=True):
-            out[i] = "\n".join(x.text for x, q in zip(found[i], p, strict=True) if q >= threshold)
+            named = sum(len(x.text) for x in found[i] if x.chrome and not x.main)
+            small = 2 * named < sum(len(x.text) for x in found[i])  # parts beside the text, not around it
+            out[i] = "\n".join(x.text for x, q in zip(found[i], p, strict=True) if q >= threshold and not (small and x.chrome and not x.main))
         lo = hi
         memo = memo if len(memo.get("p", ())) < 100_000 else {}
     return out
