@@ -5,9 +5,10 @@ A small network minimises the non-negative unbiased PU risk
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
 
 with the sigmoid loss, from trusted positives (label 1), unlabelled web text
-and a class prior estimated as the share of label 1 among the labels that may
-be learnt from. Its raw score is then turned into a probability by a one
-variable logistic fit on the labelled training rows of both classes.
+and a class prior estimated from the two alone (``estimate_prior``). Its raw
+score is then turned into a probability by a one variable logistic fit that
+minimises the unbiased PU risk, which is convex there (``calibrate``). Label 0
+is never learnt from: such rows count as neither trusted nor unlabelled.
 
 The fit uses bounded samples (``MAX_LABELLED`` labelled and ``MAX_UNLABELLED``
 other rows, those of the smallest id hash); scoring reads every whole text.
@@ -16,6 +17,7 @@ Inputs of a score are taken from the text alone.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +30,8 @@ from .words import NON_SPACE, Block, blocks, words
 
 MAX_LABELLED, MAX_UNLABELLED = 8000, 8000
 THRESHOLD = 0.7
-HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 60, 512, 0.01, 1e-4, 7
+DELTA = 0.1  # chance of error behind the margin of the prior
+HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 16, 60, 512, 0.01, 0.03, 7
 
 #: Byte classes whose share of a text is a feature.
 _CLASSES = [range(0x61, 0x7B), range(0x41, 0x5B), range(0x30, 0x3A), range(0x80, 0x100), [0x20], [0x0A], [0x09, 0x0D]]
@@ -139,17 +142,49 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
     return m
 
 
-def calibrate(m: Model, x: np.ndarray, y: np.ndarray) -> None:
-    """Logistic fit of the label on the raw score (Newton steps)."""
-    g = m.raw(x)
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among unlabelled rows.
+
+    Two halves of the rows each fit a classifier of positives against
+    unlabelled rows and judge the other half: there the share of unlabelled
+    rows above a cut over that of positives bounds the prior from above,
+    closely where what lies above the cut is nearly all positive. The cut of
+    the least such ratio, with a margin for the number of rows behind it,
+    gives the estimate; the larger one of both halves and one standard error
+    more is returned, so that doubt keeps a text rather than rejects it.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    found = []
+    for half in (0, 1):
+        m = fit_pu(positive[half::2], unlabelled[half::2], 0.5)
+        p, u = np.sort(m.raw(positive[1 - half :: 2])), np.sort(m.raw(unlabelled[1 - half :: 2]))
+        cut = np.unique(p)
+        above_p = 1 - np.searchsorted(p, cut) / len(p)
+        above_u = 1 - np.searchsorted(u, cut) / len(u)
+        margin = sum(math.sqrt(math.log(4 / DELTA) / (2 * n)) for n in (len(p), len(u)))
+        best = int(np.argmin((above_u + margin) / above_p))
+        found.append(min(1.0, above_u[best] / above_p[best]))
+    prior = max(found)
+    error = math.sqrt(prior * (1 - prior) * (1 / len(positive) + 1 / len(unlabelled)))
+    return float(np.clip(prior + error, 0.05, 0.95))
+
+
+def calibrate(m: Model, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> None:
+    """Logistic fit of the class on the raw score (Newton steps), from the PU
+    risk ``mean log(1 + exp(s)) over unlabelled - prior * mean s over
+    positives``: at its minimum the mean probability of unlabelled rows is
+    the prior."""
+    g = m.raw(unlabelled)
     centre, spread = g.mean(), g.std() + 1e-9
     z = np.column_stack([(g - centre) / spread, np.ones(len(g))])
-    target = np.where(y == 1, (np.sum(y == 1) + 1) / (np.sum(y == 1) + 2), 1 / (np.sum(y == 0) + 2))
+    goal = prior * np.array([((m.raw(positive) - centre) / spread).mean(), 1.0])
+    ridge = np.diag([1e-3, 1e-6])
     w = np.zeros(2)
-    for _ in range(50):
+    for _ in range(100):
         q = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hess = (z * (q * (1 - q))[:, None]).T @ z + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hess, z.T @ (q - target))
+        hess = (z * (q * (1 - q))[:, None]).T @ z / len(z) + ridge
+        step = np.linalg.solve(hess, z.T @ q / len(z) - goal + ridge @ w)
         w -= np.clip(step, -2, 2)
         if abs(step).max() < 1e-8:
             break
@@ -201,10 +236,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     x, y = np.stack(rows["x"].to_numpy()).astype(float), rows["quality"].to_numpy()
     if not (y == 1).any():
         return None
-    prior = float(np.clip((y == 1).sum() / (y >= 0).sum(), 0.05, 0.95))
+    positive = x[y == 1]
     web = x[y < 0] if (y < 0).sum() >= 50 else x  # too little unlabelled text: all sampled rows, labels unseen
-    model = fit_pu(x[y == 1], web, prior)
-    calibrate(model, x[y >= 0], y[y >= 0])
+    prior = estimate_prior(positive, web)
+    model = fit_pu(positive, web, prior)
+    calibrate(model, positive, web, prior)
     return model
 
 
