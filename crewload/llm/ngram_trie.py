@@ -17,10 +17,13 @@ shard counts, builds its trie, answers every occurrence with ``(a, b)`` of
 ``p(w | u v) = a + b p(w)`` and passes those to the unigram shard of ``w``,
 which knows ``p(w)`` and adds up logarithms by text. Shards grow in number
 with the corpus, and the model is the same for any number of them: discounts
-are constants, vocabulary and unigram counts exact. A context word of more
-than ``SPLIT_TOKENS`` occurrences is divided by a hash of ``u`` into contexts
-of at least half as many; the occurrences of such a word go to many unigram
-shards, its count with them. So no word makes a group large.
+are constants, vocabulary and counts exact. A context word of more than
+``SPLIT_TOKENS`` occurrences is divided by a hash of ``u``, so that the longer
+contexts ``u v`` stay whole. Its own successors are counted over the whole
+corpus by a pass of their own, and the unigram shard of ``w`` takes the bigram
+level from there, to the same byte as an undivided word's; a word's division
+moves work and changes no score. The occurrences of such a word go to many
+unigram shards, its counts with them.
 """
 
 from __future__ import annotations
@@ -264,21 +267,23 @@ class Trie:
             at += 16 + -(-p.nbytes // 8) * 8
         return cls(out, words)
 
-    def query(self, root: np.ndarray, u: np.ndarray, w: np.ndarray):
-        """The codes of (a, b) with p(w | u, context) = a + b * p(w)."""
+    def query(self, root: np.ndarray, u: np.ndarray, w: np.ndarray, divided: np.ndarray):
+        """The codes of (a, b) with p(w | u, context) = a + b * p(w), or
+        a + b * p(w | context) for a divided context."""
         if len(w) > self.CHUNK:  # bounded memory, whatever the number of lookups
-            cuts = range(0, len(w), self.CHUNK)
-            parts = [self.query(root[i : i + self.CHUNK], u[i : i + self.CHUNK], w[i : i + self.CHUNK]) for i in cuts]
+            cuts = [slice(i, i + self.CHUNK) for i in range(0, len(w), self.CHUNK)]
+            parts = [self.query(root[i], u[i], w[i], divided[i]) for i in cuts]
             return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
         at = self.root.find(root)
-        nxt = successors(self.next, self.first_next, at, w)
+        top = np.where(divided, -1, at)
+        nxt = successors(self.next, self.first_next, top, w)
         inner = successors(self.inner, self.first_inner, at, u)
         last = successors(self.last, self.first_last, inner, w)
 
         def code(codes, i, values, missing):
             return np.where(i >= 0, values[codes[np.maximum(i, 0)]] if len(codes) else missing, missing)
 
-        a2, b2 = code(self.a_next, nxt, _A, 0.0), code(self.b_root, at, _B, 1.0)
+        a2, b2 = code(self.a_next, nxt, _A, 0.0), code(self.b_root, top, _B, 1.0)
         a3, b3 = code(self.a_last, last, _A, 0.0), code(self.b_inner, inner, _B, 1.0)
         return _codes(a3 + b3 * a2, A_STEP), _codes(b3 * b2, B_STEP)
 
@@ -393,12 +398,14 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 class Frequent:
-    """The words that are divided, with their counts and number of parts."""
+    """The words that are divided, with their counts, number of parts and
+    number of different successors."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, floor: int):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         self.ways = -(-self.counts // max(1, floor))
+        self.types = np.zeros(len(words), np.int64)
 
     def of(self, words: np.ndarray) -> np.ndarray:
         """The place of each word, or -1."""
@@ -411,6 +418,85 @@ class Frequent:
         at = self.of(words)
         return np.where(at >= 0, self.ways[at] if len(self.ways) else 1, 1)
 
+    def whole(self, a: np.ndarray, b: np.ndarray, context: np.ndarray, count: np.ndarray):
+        """The codes of a trie's answers for divided contexts, with the bigram
+        level put in: ``count`` is of (context, w) over the whole corpus."""
+        total = self.counts[context].astype(float)
+        a2 = _A[_codes(np.maximum(count - DISCOUNT, 0) / total, A_STEP)]
+        b2 = _B[_codes(DISCOUNT * self.types[context] / total, B_STEP)]
+        return _codes(_A[a] + _B[b] * a2, A_STEP), _codes(_B[b] * b2, B_STEP)
+
+
+def _pair_sums(words: list[np.ndarray], contexts: list[np.ndarray], counts: list[np.ndarray], n: int):
+    """(words, pairs per word, context, count) of the distinct pairs, by word
+    and context; contexts are numbers below ``n``."""
+    k, at = np.unique(np.concatenate(words), return_inverse=True)
+    key, at = np.unique(at.astype(np.int64) * n + np.concatenate(contexts), return_inverse=True)
+    return k, np.bincount(key // n, minlength=len(k)), key % n, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+
+
+def _pair_rows(shards: int, k, per, context, count, salt: int = 0) -> list[tuple]:
+    target, at = _unigram_shard(k, shards, salt), np.cumsum(per) - per
+    order = np.argsort(target, kind="stable")  # ascending words inside a shard
+    cut = np.searchsorted(target[order], np.arange(shards + 1))
+    rows = []
+    for i in np.flatnonzero(np.diff(cut)).tolist():
+        mine = order[cut[i] : cut[i + 1]]
+        pairs = ragged(at[mine], per[mine])
+        rows.append((i, 0, "pairs", _pack([_steps(k[mine]), per[mine], context[pairs], count[pairs]])))
+    return rows
+
+
+def _pairs(shards: int, frequent: Frequent):
+    """The training successors of the frequent words of a task, counted, by
+    the successor's unigram shard."""
+
+    def run(batches):
+        got, held, n = ([], [], []), 0, len(frequent.words)
+        for block in blocks(batches, "text"):
+            h, size = _tokens(block)
+            train = np.repeat(~np.array(block.batch.column(1).to_pylist(), bool), size)
+            context = frequent.of(h)
+            at = np.flatnonzero((context >= 0) & train & (h != END))
+            for x, part in zip(got, (h[at + 1], context[at], np.ones(len(at), np.int64)), strict=True):
+                x.append(part)
+            held += len(at)
+            if held > SURVEY_WORDS:
+                k, per, context, count = _pair_sums(*got, n)
+                got, held = ([np.repeat(k, per)], [context], [count]), len(count)
+                if held > SURVEY_WORDS // 2:
+                    yield _rows(_pair_rows(shards, k, per, context, count))
+                    got, held = ([], [], []), 0
+        if held:
+            yield _rows(_pair_rows(shards, *_pair_sums(*got, n)))
+
+    return run
+
+
+def _unpairs(blobs: list[bytes]):
+    """Lists of word, context and count of packed pairs."""
+    got = [_unpack(x) for x in blobs]
+    return [np.repeat(np.cumsum(g[0]), g[1].astype(np.int64)) for g in got], [g[2].astype(np.int64) for g in got], [g[3] for g in got]
+
+
+def _count_pairs(shards: int, frequent: Frequent):
+    """A unigram shard's part of the pairs, for all shards that hold the
+    word; and how many pairs each context has there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n = len(frequent.words)
+        k, per, context, count = _pair_sums(*_unpairs(table.column("payload").to_pylist()), n)
+        types = np.bincount(context, minlength=n)
+        rows = [(c, int(types[c]), "types", None) for c in np.flatnonzero(types).tolist()]
+        ways, at = frequent.parts(k), np.cumsum(per) - per
+        for salt in range(int(ways.max())):
+            some = ways > salt
+            pairs = ragged(at[some], per[some])
+            rows += _pair_rows(shards, k[some], per[some], context[pairs], count[pairs], salt)
+        return pa.Table.from_batches([_rows(rows)])
+
+    return run
+
 
 def _send(n_shards: int, frequent: Frequent):
     """Each batch of texts sends every shard its trigrams, sorted."""
@@ -540,9 +626,11 @@ def _answer(unigram_shards: int, frequent: Frequent):
         del root, u, new
         some = learnt > 0
         trie = Trie.build(roots, gr[some], gu[some], gw[some], learnt[some], n, n * ways)
-        a, b = trie.query(roots[gr], gu, gw)
+        context = frequent.of(vocabulary).astype(np.int32)[roots // ways][gr]
+        a, b = trie.query(roots[gr], gu, gw, context >= 0)
         del gr, gu, gw, trie, some
         a, b = a[which], b[which]
+        context = context[which]
         del which
         bases = np.array([x["base"] for x in rows], np.int64).view(U64)
         target = _unigram_shard(vocabulary, unigram_shards)[w]
@@ -563,10 +651,14 @@ def _answer(unigram_shards: int, frequent: Frequent):
         del target
         out = []
         for k in np.flatnonzero(np.diff(cut)).tolist():
-            mine = order[cut[k] : cut[k + 1]]
-            used, run_length = np.unique(w[mine], return_counts=True)
-            learnt = np.add.reduceat((~held[mine]).astype(np.int64), np.cumsum(run_length) - run_length)
-            out.append((k, 0, "words", _pack([bases, _steps(vocabulary[used]), run_length, learnt, batch[mine], doc[mine], a[mine], b[mine]])))
+            every = order[cut[k] : cut[k + 1]]
+            divided = context[every] >= 0
+            for mine in (every[~divided], every[divided]):
+                if len(mine):
+                    used, run_length = np.unique(w[mine], return_counts=True)
+                    learnt = np.add.reduceat((~held[mine]).astype(np.int64), np.cumsum(run_length) - run_length)
+                    cols = [bases, _steps(vocabulary[used]), run_length, learnt, batch[mine], doc[mine], a[mine], b[mine]]
+                    out.append((k, 0, "words", _pack(cols + [context[mine]] * bool(context[mine[0]] >= 0))))
         return pa.Table.from_batches([_rows(out)])
 
     return run
@@ -579,6 +671,17 @@ def _sum(n_train: int, vocabulary: int, frequent: Frequent):
     """A unigram shard: counts of its words, then logarithms by text, packed
     by the batch the texts came from."""
 
+    def followers(keys: np.ndarray, blobs: list[bytes]):
+        """(place of w * number of frequent words + frequent word) of the
+        pairs of these words, ascending, and their counts."""
+        w, context, count = ([np.zeros(1, t), *x] for t, x in zip((U64, np.int64, np.int64), _unpairs(blobs), strict=True))
+        w, context, count = (np.concatenate(x)[1:] for x in (w, context, count))
+        at = np.minimum(np.searchsorted(keys, w), len(keys) - 1)
+        here = keys[at] == w
+        key = np.concatenate([[-1], at[here] * len(frequent.words) + context[here]])  # never empty
+        order = np.argsort(key)
+        return key[order], np.concatenate([[0], count[here]])[order]
+
     def run(got: pa.Table) -> pa.Table:
         rows = got.to_pylist()
         out = [(0, r["base"], "docs", r["payload"]) for r in rows if r["kind"] == "docs"]
@@ -591,10 +694,17 @@ def _sum(n_train: int, vocabulary: int, frequent: Frequent):
             if (place >= 0).any():  # counted by the survey: here is only a part of them
                 learnt = np.where(place >= 0, frequent.counts[place], learnt)
             del heads, at
-            sums = []
+            sums, n = [], len(frequent.words)
+            pairs, times = followers(keys, [r["payload"] for r in rows if r["kind"] == "pairs"])
             for blob in blobs:
-                bases, h, run_length, _, batch, doc, a, b = _unpack(blob)
-                c = np.repeat(learnt[np.searchsorted(keys, np.cumsum(h))], run_length.astype(np.int64))
+                bases, h, run_length, _, batch, doc, a, b, *divided = _unpack(blob)
+                word = np.repeat(np.searchsorted(keys, np.cumsum(h)), run_length.astype(np.int64))
+                c = learnt[word]
+                if divided:
+                    context = divided[0].astype(np.int64)
+                    want = word * n + context
+                    at = np.minimum(np.searchsorted(pairs, want), len(pairs) - 1)
+                    a, b = frequent.whole(a, b, context, np.where(pairs[at] == want, times[at], 0))
                 row, at = np.unique((batch.astype(np.int64) << 16) | doc, return_inverse=True)
                 p = _A[a] + _B[b] * ((c + 1) / (n_train + vocabulary + 1))
                 cols = [np.bincount(at, c > 0), np.bincount(at, np.log10(c + 1)), np.bincount(at, np.log10(np.minimum(p, 1)))]
@@ -640,6 +750,16 @@ def survey(flat: DataFrame, shards: int) -> tuple[int, int, Frequent]:
     return n_train, vocabulary, Frequent(np.array([r["key"] for r in often], np.int64).view(U64), np.array([r["n"] for r in often], np.int64), floor)
 
 
+def pair_survey(flat: DataFrame, shards: int, frequent: Frequent) -> DataFrame:
+    """The training successors of the frequent words with their counts, packed
+    for the unigram shards; sets ``frequent.types``."""
+    counted = flat.mapInArrow(_pairs(shards, frequent), ROWS).repartitionById(shards, "part").groupBy("part").applyInArrow(_count_pairs(shards, frequent), ROWS)
+    counted = stage(counted, "pairs")
+    for r in counted.where("kind = 'types'").groupBy("part").agg(F.sum("base").alias("n")).collect():  # a row per frequent word
+        frequent.types[r["part"]] = r["n"]
+    return counted.where("kind = 'pairs'")
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row of ``docs``.
@@ -661,6 +781,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     sent = flat.mapInArrow(_send(n_shards, frequent), ROWS)
     # a group's number is its partition: hashed, several would meet in one task
     answered = sent.repartitionById(2 * n_shards, "part").groupBy("part").applyInArrow(_answer(unigram_shards, frequent), ROWS)
+    if len(frequent.words):
+        answered = answered.unionByName(pair_survey(flat.drop("row"), unigram_shards, frequent))
     sums = answered.repartitionById(unigram_shards, "part").groupBy("part").applyInArrow(_sum(n_train, vocabulary, frequent), ROWS)
     texts = stage(sums, "sums").groupBy("base").applyInArrow(_totals, SCORES)
     return texts.select(

@@ -93,6 +93,16 @@ def test_the_model_is_the_same_for_any_number_of_shards(spark, docs, monkeypatch
     assert [r[5] for r in found[-1]] == pytest.approx([w[5] for w in want])
 
 
+@pytest.mark.parametrize("shard_bytes", [14 << 20, 4_000])
+def test_dividing_frequent_words_changes_no_score(spark, docs, monkeypatch, shard_bytes):
+    monkeypatch.setattr(ngram_trie, "SHARD_BYTES", shard_bytes)
+    whole = scored(spark, docs)
+    for split in (1_000, 200, 20):  # one, a few and most words are divided
+        monkeypatch.setattr(ngram_trie, "SPLIT_TOKENS", split)
+        for a, b in zip(whole, scored(spark, docs), strict=True):
+            assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9)
+
+
 def test_small_batches_and_wide_ranks_change_nothing(spark, docs, monkeypatch):
     whole = scored(spark, docs)
     monkeypatch.setattr(ngram_trie, "BATCH_TOKENS", 50)
