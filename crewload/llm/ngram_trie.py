@@ -48,6 +48,7 @@ SPLIT_TOKENS = 1 << 20  # occurrences of a word from which it is divided
 SPLIT_SHARE = 1e-6  # and least share of all tokens: at most 1 / SPLIT_SHARE such words
 DISCOUNT = 0.75  # absolute discount of bigrams and trigrams
 SURVEY_WORDS = 1 << 21  # words counted before they are merged
+SUM_ROWS = 1 << 18  # sums of texts held before they are added up
 A_STEP, B_STEP = 10 / 254, 6 / 254  # log10 per quantisation step, one byte
 END, START = U64(1), U64(2)
 HASH_SHIFT = U64(64 - 52)  # words are known by 52 bits of their hash: sorted, they pack well
@@ -63,14 +64,13 @@ def held_out(doc_id: Column) -> Column:
 
 class EliasFano:
     """A strictly monotone sequence of integers below ``universe``: the low
-    bits of each side by side, high bits in unary, zeros counted per ``STEP``
-    bytes."""
+    bits of each side by side, high bits in unary, zeros counted per word of
+    64 bits."""
 
-    STEP = 16
-    _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
+    WORD = 64
 
     def __init__(self, n, low_bits, low, high, zeros):
-        self.n, self.low_bits, self.low, self.high, self.zeros = n, low_bits, low.view(U64), high, zeros
+        self.n, self.low_bits, self.low, self.high, self.zeros = n, low_bits, low.view(U64), high.view(U64), zeros
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -83,30 +83,28 @@ class EliasFano:
         low = np.concatenate([*packed, np.zeros(16, np.uint8)])
         low = low[: len(low) - len(low) % 8].view(np.int64)
         size = n + (universe >> low_bits) + 2
-        size += -size % (8 * cls.STEP)
+        size += -size % cls.WORD
         unary = np.zeros(size, np.uint8)
         unary[(values >> low_bits) + np.arange(n)] = 1
-        high = np.packbits(unary, bitorder="little")
-        per = 8 * cls.STEP - cls._ONES[high].reshape(-1, cls.STEP).sum(1)
+        high = np.packbits(unary, bitorder="little").view(np.int64)
+        per = cls.WORD - np.bitwise_count(high.view(U64)).astype(np.int64)
         return cls(n, low_bits, low, high, np.concatenate([[0], np.cumsum(per)]).astype(np.int64))
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Bit position of the zero (or one) number k (from 0)."""
-        out = np.empty(len(k), np.int64)
-        before = np.arange(len(self.zeros)) * (8 * self.STEP) - self.zeros if ones else self.zeros
-        for lo in range(0, len(k), 1 << 16):
-            q = k[lo : lo + (1 << 16)]
-            block = np.searchsorted(before, q, "right") - 1
-            left = q - before[block]
-            part = self.high.reshape(-1, self.STEP)[block]
-            seen = np.cumsum(self._ONES[part] if ones else 8 - self._ONES[part], axis=1)
-            byte = (seen <= left[:, None]).sum(1)
-            row = np.arange(len(q))
-            left = left - np.where(byte > 0, seen[row, byte - 1], 0)
-            bits = np.unpackbits(part[row, byte][:, None], axis=1, bitorder="little")
-            bit = (np.cumsum(bits if ones else 1 - bits, axis=1, dtype=np.int64) <= left[:, None]).sum(1)
-            out[lo : lo + (1 << 16)] = (block * self.STEP + byte) * 8 + bit
-        return out
+        before = np.arange(len(self.zeros)) * self.WORD - self.zeros if ones else self.zeros
+        word = np.searchsorted(before, k, "right") - 1
+        left = (k - before[word]).astype(np.uint8)
+        bits = self.high[word] if ones else ~self.high[word]
+        at = word * self.WORD
+        for half in (32, 16, 8, 4, 2, 1):  # the half of the bits that holds it
+            count = np.bitwise_count(bits & U64((1 << half) - 1))
+            above = left >= count
+            left -= count * above
+            step = above * np.uint8(half)
+            bits >>= step.astype(U64)
+            at += step
+        return at
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -128,7 +126,7 @@ class EliasFano:
         if not self.n or not len(values):
             return np.full(len(values), -1)
         high = values >> self.low_bits
-        most = (len(self.high) * 8 - self.n) - 1  # zeros there are
+        most = (len(self.high) * self.WORD - self.n) - 1  # zeros there are
         new = np.concatenate([[True], high[1:] != high[:-1]])  # equal neighbours share one range
         h, run = np.minimum(high[new], most), np.cumsum(new) - 1
         lo = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) - (h - 1), 0)[run]
@@ -149,7 +147,7 @@ class EliasFano:
         return found
 
     def parts(self):
-        return [np.array([self.n, self.low_bits], np.int64), self.low.view(np.int64), self.high, self.zeros]
+        return [np.array([self.n, self.low_bits], np.int64), self.low.view(np.int64), self.high.view(np.int64), self.zeros]
 
     @classmethod
     def of(cls, parts) -> EliasFano:
@@ -229,9 +227,12 @@ class Trie:
         ``names``), the word before it, the word, and how often."""
         new = _changes(root)
         held, root = names[root[new]], np.cumsum(new) - 1
-        nxt, at = np.unique(root * words + w, return_inverse=True)
-        c2 = np.bincount(at, count, len(nxt))
-        del at
+        nxt = root * words + w
+        order = np.argsort(nxt)
+        nxt = nxt[order]
+        first = np.flatnonzero(_changes(nxt))
+        nxt, c2 = nxt[first], np.add.reduceat(count[order], first)
+        del order, first
         pair = root * words + u
         new = _changes(pair)
         inner, last, c3 = pair[new], (np.cumsum(new) - 1) * words + w, count
@@ -519,7 +520,7 @@ def _send(n_shards: int, frequent: Frequent):
                 key <<= bits
                 key |= s[at - back]
             del at, s
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             key = key[order]
             w, u = ((key >> (k * bits)).astype(np.int32) & ((1 << bits) - 1) for k in (0, 1))
             key >>= 2 * bits
@@ -538,6 +539,8 @@ def _send(n_shards: int, frequent: Frequent):
             part = mix64(vocabulary[u[often]]) % ways[v[often]].astype(U64)
             split[often] = part.astype(np.int32)
             shard[often] = (mix64(vocabulary[v[often]] + part * _SALT) % U64(n_shards)).astype(np.int32)
+        if n_shards <= 1 << 16:
+            shard = shard.astype(np.uint16)  # sorted by radix
         by = np.argsort(shard, kind="stable").astype(np.int32)
         cut = np.searchsorted(shard[by], np.arange(n_shards + 1))
         del shard
@@ -545,9 +548,12 @@ def _send(n_shards: int, frequent: Frequent):
         for k in np.flatnonzero(np.diff(cut)).tolist():
             mine = by[cut[k] : cut[k + 1]]
             cols = [v[mine], u[mine], w[mine]]
-            used = np.unique(np.concatenate(cols))
+            used = np.sort(np.concatenate(cols))
+            used = used[_changes(used)]
             small[used] = np.arange(len(used))
-            payload = _pack([_steps(vocabulary[used]), _steps(small[cols[0]]), small[cols[1]], small[cols[2]], split[mine], doc[mine], np.packbits(held)])
+            context, before, word = (small[x] for x in cols)
+            before = _steps(before) % len(used)  # ascends within a context: most steps are short
+            payload = _pack([_steps(vocabulary[used]), _steps(context), before, word, split[mine], doc[mine], np.packbits(held)])
             rows.append((k, base, "grams", payload))
         null = np.array([x is None for x in ids])
         known = np.array([0 if x is None else x for x in ids], np.int64).view(U64)
@@ -600,7 +606,8 @@ def _answer(unigram_shards: int, frequent: Frequent):
         rows.sort(key=lambda r: r["base"])
         got = [_unpack(r.pop("payload")) for r in rows]
         for g in got:
-            g[0], g[1] = np.cumsum(g[0]), np.cumsum(g[1].astype(np.int64))
+            g[0], g[1] = np.cumsum(g[0]), np.cumsum(g[1].astype(np.int32), dtype=np.int32)
+            g[2] = (np.cumsum(g[2], dtype=np.int64) % len(g[0])).astype(np.int32)
         vocabulary, local = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
         start, local = np.cumsum([0, *(len(g[0]) for g in got)]), local.astype(np.int32)
         held = np.concatenate([np.unpackbits(g[6])[g[5].astype(np.int64)] for g in got]).astype(bool)
@@ -616,13 +623,14 @@ def _answer(unigram_shards: int, frequent: Frequent):
         root = np.searchsorted(roots, root)
         del v, split
         order = np.argsort((root * n + u) * n + w) if len(roots) * n * n < 2**63 else np.lexsort((w, u, root))
-        root, u, w, doc, batch, held = (x[order] for x in (root, u, w, doc, batch, held))
+        root, u, w = root[order], u[order], w[order]
+        doc, batch, held = doc[order], batch[order], held[order]
         del order
         # each distinct trigram is counted and looked up once
         new = _changes(root) | _changes(u) | _changes(w)
-        which = np.cumsum(new) - 1
-        learnt = np.bincount(which, ~held).astype(np.int64)
-        gr, gu, gw = root[new], u[new].astype(np.int64), w[new].astype(np.int64)
+        which = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        learnt = np.bincount(which[~held], minlength=int(which[-1]) + 1)
+        gr, gu, gw = root[new].astype(np.int32), u[new], w[new]
         del root, u, new
         some = learnt > 0
         trie = Trie.build(roots, gr[some], gu[some], gw[some], learnt[some], n, n * ways)
@@ -645,7 +653,7 @@ def _answer(unigram_shards: int, frequent: Frequent):
         place += batch
         place <<= 16
         place |= doc
-        order = np.argsort(place)  # by unigram shard, word, batch and text
+        order = np.argsort(place).astype(np.int32)  # by unigram shard, word, batch and text
         del place
         cut = np.searchsorted(target[order], np.arange(unigram_shards + 1))
         del target
@@ -682,6 +690,12 @@ def _sum(n_train: int, vocabulary: int, frequent: Frequent):
         order = np.argsort(key)
         return key[order], np.concatenate([[0], count[here]])[order]
 
+    def added(sums: list[tuple]):
+        """Sums of each text, once."""
+        row, first, at = np.unique(np.concatenate([s[0] for s in sums]), return_index=True, return_inverse=True)
+        base = np.concatenate([s[1] for s in sums])[first]
+        return row, base, np.array([np.bincount(at, np.concatenate([s[2][k] for s in sums])) for k in range(3)])
+
     def run(got: pa.Table) -> pa.Table:
         rows = got.to_pylist()
         out = [(0, r["base"], "docs", r["payload"]) for r in rows if r["kind"] == "docs"]
@@ -709,9 +723,10 @@ def _sum(n_train: int, vocabulary: int, frequent: Frequent):
                 p = _A[a] + _B[b] * ((c + 1) / (n_train + vocabulary + 1))
                 cols = [np.bincount(at, c > 0), np.bincount(at, np.log10(c + 1)), np.bincount(at, np.log10(np.minimum(p, 1)))]
                 sums.append((bases.view(np.int64)[row >> 16] + (row & 0xFFFF), bases.view(np.int64)[row >> 16], np.array(cols)))
-            row, first, at = np.unique(np.concatenate([s[0] for s in sums]), return_index=True, return_inverse=True)
-            base = np.concatenate([s[1] for s in sums])[first]
-            total = [np.bincount(at, np.concatenate([s[2][k] for s in sums])) for k in range(3)]
+                del bases, h, run_length, batch, doc, a, b, divided, word, c, p, row, at, cols
+                if sum(len(s[0]) for s in sums[1:]) > max(SUM_ROWS, len(sums[0][0])):  # a text is in many payloads
+                    sums = [added(sums)]
+            row, base, total = added(sums)
             for one in np.unique(base).tolist():
                 m = base == one
                 out.append((0, one, "sums", _pack([row[m] - one, *(t[m].view(U64) for t in total)])))
