@@ -145,6 +145,27 @@ def test_symbol_junk_is_rejected_and_text_kept(spark):
     assert len(text) > 700 and sum(not r.kept for r in text) <= 0.01 * len(text)
 
 
+def test_bands_reject_outliers_of_a_varied_corpus(spark):
+    """Texts that differ much among themselves: 40 deviations of theirs would
+    pass any text."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("etaoinshr"), rng.integers(2, 7))) for _ in range(50)]
+    strange = [chr(c) for c in range(0x62, 0x7B)]
+
+    def text(share):
+        words = ["".join(rng.choice(strange, 5)) if rng.random() < share else str(rng.choice(vocabulary)) for _ in range(120)]
+        return " ".join(words)
+
+    texts = [text(rng.random() * 0.4) for _ in range(200)]
+    junk = [" ".join("".join(rng.choice(list("#*$%&|<>QZ79{~;"), 6)) for _ in range(120)) for _ in range(10)]
+    rows = perplexity.quality_rules(docs_of(spark, list(enumerate(texts + junk)))).collect()
+    assert not any(r.base_failed for r in rows)
+    middle = float(np.median([r.log_perplexity for r in rows]))
+    spread = float(np.median([abs(r.log_perplexity - middle) for r in rows]))
+    assert spread > 0.1 and min(r.log_perplexity for r in rows if r.doc_id >= 200) < middle + 40 * spread
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.doc_id) if not r.kept] == list(range(200, 210))
+
+
 def test_base_counts_match_brute_force(spark):
     texts = ["", None, "a b c a b c", "x\ny\nx\n \nx", "# $ a|b <c>", "é é é é é", "one two three " * 30, "w " * 20_000, "　a　b"]
     got = {r.doc_id: r for r in perplexity.quality_rules(docs_of(spark, list(enumerate(texts)))).collect()}
